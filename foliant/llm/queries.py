@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, secret_scan
+from . import bpe, exact_dedup, near_dedup, secret_scan
 from .common import table
 
 
@@ -14,9 +14,13 @@ def op3_secret_scan(spark, sf_dir):
     return secret_scan.secret_summary(table(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark, sf_dir):
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_secret_scan, op7_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_secret_scan, op6_near_dedup, op7_byte_bpe)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
