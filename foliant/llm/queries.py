@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, near_dedup, secret_scan
+from . import bpe, decontaminate, exact_dedup, html_extract, near_dedup, secret_scan
 from .common import table
 
 
@@ -10,10 +10,18 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_site_style_tree(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark, sf_dir):
     return secret_scan.secret_summary(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_near_dedup(spark, sf_dir):
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -22,5 +30,5 @@ def op7_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_secret_scan, op6_near_dedup, op7_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_site_style_tree, op3_secret_scan, op5_decontaminate, op6_near_dedup, op7_byte_bpe)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
