@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, html_extract, near_dedup, secret_scan
+from . import bpe, decontaminate, exact_dedup, html_extract, near_dedup, secret_scan, toxicity
 from .common import table
 
 
@@ -30,5 +30,9 @@ def op7_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_site_style_tree, op3_secret_scan, op5_decontaminate, op6_near_dedup, op7_byte_bpe)}
+def op10_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_site_style_tree, op3_secret_scan, op5_decontaminate, op6_near_dedup, op7_byte_bpe, op10_toxicity)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
