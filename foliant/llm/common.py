@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,11 +45,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Once for each application: sends this package to the Python workers of all executors."""
+    context = spark.sparkContext
+    if getattr(ship, "to", None) != context.applicationId:
+        top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        name = os.path.join(tempfile.mkdtemp(prefix="foliant-code-"), "foliant_code")
+        context.addPyFile(shutil.make_archive(name, "zip", top, "foliant"))
+        ship.to = context.applicationId
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns, by position free names: ``only(df, doc_id='bigint', text='string')``.
 
     Further columns are left out, so names that clash with ours do no harm.
     """
+    ship(df.sparkSession)
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])
 
 
