@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, html_extract, language_id, near_dedup, secret_scan, toxicity
+from . import bpe, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, secret_scan, toxicity
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op7_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_lm_score(spark, sf_dir):
+    return lm_score.lm_score(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark, sf_dir):
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
@@ -38,5 +42,5 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_site_style_tree, op3_secret_scan, op5_decontaminate, op6_near_dedup, op7_byte_bpe, op9_language_id, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_site_style_tree, op3_secret_scan, op5_decontaminate, op6_near_dedup, op7_byte_bpe, op8_lm_score, op9_language_id, op10_toxicity)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
