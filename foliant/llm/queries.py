@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, secret_scan, toxicity
+from . import bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan, lm_score, near_dedup, secret_scan, toxicity
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_secret_scan(spark, sf_dir):
     return secret_scan.secret_summary(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark, sf_dir):
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,5 +46,5 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_site_style_tree, op3_secret_scan, op5_decontaminate, op6_near_dedup, op7_byte_bpe, op8_lm_score, op9_language_id, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_site_style_tree, op3_secret_scan, op4_license_scan, op5_decontaminate, op6_near_dedup, op7_byte_bpe, op8_lm_score, op9_language_id, op10_toxicity)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
