@@ -1,34 +1,75 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline.
+
+Every stage takes ``(spark, docs, sf_dir)`` and reads all that the one before kept. All
+but the last return the columns they got. Rows with a null doc_id can't be named by a
+stage's decision and go on; a doc_id that stands in several rows is decided on as one.
+Empty input gives empty output at every stage.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import materialise, table
+from .common import materialise, ship, table
+from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .near_dedup import near_dedup
+from .toxicity import Scorer, train
+
+#: Words of a shingle and percentage of the near-duplicate stage.
+SHINGLE, PERCENT = 5, 80
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out texts with a toxicity score of 0.5 or more; each row is scored by itself."""
+    ship(spark)
+    model = spark.sparkContext.broadcast(train(docs, table(spark, sf_dir, "labels")))
 
-def _keep(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    return docs.join(kept.filter("kept").select(F.col("doc_id").alias("_kept")).distinct(), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(model.value)
+        for text in texts:
+            yield pd.Series([scorer.score(t) < 0.5 for t in text], dtype=bool)
+
+    return docs.filter(clean(F.col("text")))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, exact_dedup(docs))
+    """Of equal texts the smallest doc_id stays."""
+    return _without(docs, exact_dedup(docs).filter("not kept"))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, 0.8) the smallest doc_id stays."""
+    return _without(docs, near_dedup(docs, size=SHINGLE, percent=PERCENT).filter("not kept"))
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out documents that overlap an item of the benchmark."""
+    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes of every text that is left."""
     return bpe.round_trip(docs)
 
 
-STAGES = [("exact_dedup", exact_stage), ("byte_bpe", bpe_stage)]
+STAGES = [("toxicity", toxicity_stage), ("exact_dedup", exact_stage), ("near_dedup", near_stage), ("decontamination", decontaminate_stage), ("byte_bpe", bpe_stage)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what one leaves is written and read again for the next."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialise(docs, f"pipeline-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
