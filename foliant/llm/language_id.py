@@ -65,7 +65,7 @@ class Pieces:
     def _powers() -> np.ndarray:
         out = np.ones(LONGEST + 2, np.uint64)
         for k in range(1, len(out)):
-            out[k] = out[k - 1] * _BASE
+            out[k] = int(out[k - 1]) * int(_BASE) & 0xFFFFFFFFFFFFFFFF
         return out
 
     @staticmethod
