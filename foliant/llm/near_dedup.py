@@ -5,12 +5,14 @@ shifted by k places, gives coordinate k. All coordinates of a shingle are theref
 neighbours in one table, and a signature is the minimum over such rows.
 
 *Links.* Texts of one shingle set form a class, and only the class's first document
-goes on. Documents that share a band fall in a bucket. Round one tests each bucket's
-smallest document against the others and joins what is similar. Round two tests every
-pair of a bucket that is still in different components. So a bucket of n copies of one
-page costs n tests, and yet no link that joins two components is left out. Buckets of
-more than ``BLOCK`` documents are compared block by block. All tests are exact, over
-the shingles of both whole texts.
+goes on. Documents that share a band fall in a bucket. Each bucket's smallest document
+is tested against the others, small buckets are tested in full, and what is similar is
+joined. Larger buckets that still hold several components go on with long signatures:
+each document outside a bucket's largest component is tested against the most similar
+of other components, and in the last round against all that can be similar. So a bucket
+of n copies of one page costs some n tests, and yet no link that joins two components is
+left out. Buckets of more than ``BLOCK`` documents are compared block by block. All
+tests are exact, over the shingles of both whole texts.
 """
 
 from __future__ import annotations
@@ -30,9 +32,16 @@ from .components import components
 #: Places on the circle, coordinates, bands. At 0.8 a pair shares no band of four
 #: coordinates with a probability of (1 - 0.8**4)**24, or 5 in a million.
 CIRCLE, COORDINATES, BANDS = 1 << 20, 96, 24
-#: Pairs that agree in fewer coordinates than this share of them go untested: it is five
-#: standard deviations below a similarity of 0.8.
-LEAST_AGREEMENT = 0.6
+#: Coordinates of a long signature; the first ones are those of the short one.
+LONG = 1536
+#: Pairs that agree in fewer coordinates than these shares of a short and a long signature
+#: go untested: 4.4 standard deviations below a similarity of 0.8.
+LEAST_SHORT, LEAST_LONG = 0.62, 0.755
+#: Most similar signatures that a document is tested against in a round, bucket by bucket;
+#: 0 is all of them.
+ROUNDS = (16, 0)
+#: Up to so many ids are sent to every task; more are joined.
+SENT_IDS = 1_000_000
 #: Buckets up to SMALL documents are paired by a join, larger ones in blocks.
 SMALL, BLOCK = 16, 2048
 SEED = 20240607
@@ -47,12 +56,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @functools.cache
 def circle() -> tuple[np.ndarray, np.ndarray]:
-    """The first permutation, and for each place the coordinates of the second one from there."""
+    """The first permutation, and the second one with its beginning again at its end."""
     rng = np.random.default_rng(SEED)
     first = rng.permutation(CIRCLE).astype(np.uint32)
     second = rng.permutation(CIRCLE).astype(np.uint32)
-    around = np.concatenate([second, second[: COORDINATES - 1]])
-    return first, np.lib.stride_tricks.sliding_window_view(around, COORDINATES)
+    return first, np.concatenate([second, second[: LONG - 1]])
+
+
+@functools.cache
+def coordinates(n: int) -> np.ndarray:
+    """For each place on the circle, the values of ``n`` coordinates."""
+    return np.lib.stride_tricks.sliding_window_view(circle()[1], n)[:CIRCLE]
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -68,10 +82,10 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(_mixed(out))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    first, rows = circle()
-    at = first[(hashes & np.uint64(CIRCLE - 1)).astype(np.int64)]
-    return np.min([rows[at[i : i + 8192]].min(axis=0) for i in range(0, len(at), 8192)], axis=0)
+def signature(hashes: np.ndarray, n: int = COORDINATES) -> np.ndarray:
+    rows = coordinates(n)
+    at = circle()[0][(hashes & np.uint64(CIRCLE - 1)).astype(np.int64)]
+    return np.min([rows[at[i : i + 2048]].min(axis=0) for i in range(0, len(at), 2048)], axis=0)
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
@@ -109,10 +123,17 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             sides = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, COORDINATES) for k in (2, 3)]
-            keep = (sides[0] == sides[1]).mean(axis=1) >= LEAST_AGREEMENT
+            keep = (sides[0] == sides[1]).mean(axis=1) >= LEAST_SHORT
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
 
+def _long(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_hashes(lower_words(t), size) for t in batch.column(1).to_pylist()]
+        sigs = [signature(h, LONG).astype(np.uint8).tobytes() if len(h) else bytes(LONG) for h in sets]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(sigs, pa.binary())], ["node", "n_shingles", "sig"])
+
+
 def shingle_set(text: str | None, size: int) -> frozenset:
     words = lower_words(text)
     size = min(size, len(words))
@@ -137,17 +158,19 @@ def _verified(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Ite
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], percent: int, most: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key, i, j: the pairs of a block that are in different components.
 
-    Columns key, i, j, block, node, component, n_shingles, sig. Pairs of two blocks are
-    taken across only.
+    Columns key, i, j, block, node, component, n_shingles, sig, bands. Pairs of two blocks
+    are taken across only, and each pair only in the bucket of its first common band.
     """
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        _, i, j, block, node, part, n, sig = zip(*rows, strict=True)
+        key, i, j, block, node, part, n, sig, bands = zip(*rows, strict=True)
         block, node, part, n = (np.array(x) for x in (block, node, part, n))
-        sig = np.frombuffer(b"".join(sig), np.uint8).reshape(-1, COORDINATES)
+        sig = np.frombuffer(b"".join(sig), np.uint8).reshape(-1, LONG)
+        short = np.ascontiguousarray(sig[:, :COORDINATES])
+        bands = np.array(bands, np.int64)
         values, counts = np.unique(part, return_counts=True)
         main = values[counts.argmax()]
         for at in np.flatnonzero(part != main):  # pairs inside the largest component need no test
@@ -156,7 +179,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 other &= block != block[at]
             other &= (np.minimum(n, n[at]) * 100 >= percent * np.maximum(n, n[at]))
             other = np.flatnonzero(other)
-            other = other[(sig[other] == sig[at]).mean(axis=1) >= LEAST_AGREEMENT]
+            other = other[(short[other] == short[at]).mean(axis=1) >= LEAST_SHORT]
+            first = (bands[other] == bands[at]).argmax(axis=1)
+            other = other[bands[at][first] == key[0]]
+            agreement = (sig[other] == sig[at]).mean(axis=1)
+            other, agreement = other[agreement >= LEAST_LONG], agreement[agreement >= LEAST_LONG]
+            if most:
+                other = other[np.argsort(-agreement, kind="stable")[:most]]
             if len(other):
                 yield np.minimum(node[other], node[at]), np.maximum(node[other], node[at])
 
@@ -196,7 +225,6 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """
     if not 80 <= percent <= 100:
         raise ValueError("the bands are made for a similarity of 80 percent or more")
-    texts = only(docs, doc_id="bigint", text="string")
     signed = materialise(signatures(docs, size), "signatures")
     classes = signed.filter("n_shingles > 0").groupBy("n_shingles", "set_id").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     classes = materialise(classes.filter("node is not null"), "classes")
@@ -206,33 +234,42 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     buckets = postings.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).filter("members > 1")
     live = materialise(postings.join(buckets, "key"), "postings")
 
-    def agreeing(pairs: DataFrame) -> DataFrame:
-        left = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
-        right = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"))
-        sized = pairs.join(left, "a").join(right, "b").filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a bigint, b bigint")
-
-    stars = live.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(_similar(agreeing(stars), texts, size, percent), "links")
-    parts = components(links)
-
-    placed = live.join(parts, "node", "left").select("key", "members", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    rest = materialise(placed.join(open_keys, "key", "left_semi"), "open-buckets")
-    few = rest.filter(F.col("members") <= SMALL)
-    mate = few.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-    small = few.join(mate, "key").filter("node < b and component <> other").select(F.col("node").alias("a"), "b").distinct()
-    many = rest.filter(F.col("members") > SMALL).join(nodes, "node")
-    many = many.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    many = many.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    many = many.select("key", F.least("block", "mate").alias("i"), F.greatest("block", "mate").alias("j"), "block", "node", "component", "n_shingles", "sig")
-    large = many.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda b: _blocks(b, percent), "a bigint, b bigint")
-    tested = live.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    todo = agreeing(small).unionByName(large).distinct().join(tested.distinct(), ["a", "b"], "left_anti")
-    more = materialise(_similar(todo, texts, size, percent), "links")
-    joined = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-
-    ids = classes.select("n_shingles", "set_id", "node").join(joined, "node", "left").select(F.col("n_shingles").alias("n"), F.col("set_id").alias("s"), F.coalesce("component", "node").alias("component"))
+    # pairs of the first round: stars of all buckets, all pairs of small ones
+    few = live.filter(F.col("members") <= SMALL)
+    pairs = live.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).unionByName(few.join(few.select("key", F.col("node").alias("b")), "key").filter("node < b and node <> leader").select(F.col("node").alias("a"), "b")).distinct()
+    left = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"))
+    sized = pairs.join(left, "a").join(right, "b").filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    tested = materialise(sized.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a bigint, b bigint"), "tested")
+
+    # only documents of these pairs and of large buckets can have links: their texts are set apart
+    large = live.filter(F.col("members") > SMALL)
+    wanted = materialise(tested.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(large.select(F.col("node").alias("doc_id"))).distinct(), "candidates")
+    wanted = F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
+    texts = materialise(only(docs, doc_id="bigint", text="string").join(wanted, "doc_id", "left_semi"), "texts")
+    parts = components(materialise(_similar(tested, texts, size, percent), "links"))
+
+    long = None
+    for most in ROUNDS:
+        placed = large.join(parts, "node", "left").select("key", "members", "node", F.coalesce("component", "node").alias("component"))
+        open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+        rest = materialise(placed.join(open_keys, "key", "left_semi"), "open-buckets")
+        if rest.isEmpty():
+            break
+        if long is None:
+            members = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+            long = materialise(members.mapInArrow(lambda b: _long(b, size), "node bigint, n_shingles bigint, sig binary"), "long-signatures")
+        rows = rest.join(long, "node").join(classes.select("node", "bands"), "node")
+        rows = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("key", F.least("block", "mate").alias("i"), F.greatest("block", "mate").alias("j"), "block", "node", "component", "n_shingles", "sig", "bands")
+        found = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda b, most=most: _blocks(b, percent, most), "a bigint, b bigint")
+        todo = materialise(found.distinct().join(tested, ["a", "b"], "left_anti"), "tested")
+        more = materialise(_similar(todo, texts, size, percent), "links")
+        tested = tested.unionByName(todo)
+        parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    ids = classes.select("n_shingles", "set_id", "node").join(parts, "node", "left").select(F.col("n_shingles").alias("n"), F.col("set_id").alias("s"), F.coalesce("component", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", "set_id").join(ids, (F.col("n") == F.col("n_shingles")) & (F.col("s") == F.col("set_id")), "left")
     found = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", found.alias("component_id"), F.coalesce(F.col("doc_id") == found, F.lit(False)).alias("kept"))
