@@ -99,11 +99,15 @@ def _words(low: Column) -> Column:
     return F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0))
 
 
-def _shingles(words: Column, size: Column | int = SIZE) -> Column:
+def _shingles(words: Column, size: int = SIZE) -> Column:
     """Every ``SIZE``-word shingle; all words if there are fewer; none without words."""
-    n = F.least(F.lit(size), F.size(words))
-    made = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(made))
+
+    def made(w: Column) -> Column:
+        n = F.least(F.lit(size), F.size(w))
+        every = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(every))
+
+    return F.transform(F.array(words), made)[0]  # the words are reckoned once
 
 
 def _band_keys(shingles: Column, bands: int) -> Column:
