@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import text as T
 from ..functions import units as U
+from ..ship import ship
 
 D0, A1, B1, REST = 1, 2, 3, 4
 MATCHES = "doc_id string, phase int, lead string, unit_id string, role int"
@@ -59,6 +60,7 @@ def match_page(rows: pd.DataFrame) -> pd.DataFrame:
 
 def placed_numbers(units: DataFrame) -> DataFrame:
     """doc_id, phase, lead, unit_id, role: the units that D0 (number, title, page) and A1 (number, heading) bring together."""
+    ship(units.sparkSession)
     blocks = blocks_of(units)
     place = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy(*U.order()))
     needed = blocks.select("doc_id", F.coalesce("page", F.lit(0)).alias("page"), "ord", "unit_id", place.alias("place"), U.middle().alias("cy"), U.edge("x0").alias("x0"), U.edge("x1").alias("x1"), U.width().alias("width"), U.toc_number().alias("toc_number"), U.is_type(("toc_title",)).alias("toc_title"), U.toc_page().alias("toc_page"), U.left_isolated_section().alias("isolated"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import completeness as C
 from ..operators import detectors, evidence, render, repairs, review
+from ..ship import ship
 
 
 @dataclass
@@ -24,6 +25,10 @@ class Audit:
     losses: DataFrame
     status: DataFrame
 
+    def release(self) -> None:
+        for frame in (self.units, self.output, self.items, self.losses):
+            frame.unpersist()
+
 
 def _labelled(df: DataFrame, rule: str, reason: str, refs: bool = False) -> DataFrame:
     return df.select("doc_id", F.lit(rule).alias("rule_id"), F.lit(reason).alias("reason"), (F.array("unit_id") if refs else F.array().cast("array<string>")).alias("source_refs")).distinct()
@@ -33,9 +38,10 @@ def run_audit(units: DataFrame, hits: DataFrame | None = None, pages: DataFrame
     """Repairs, detects, audits and gates every document of ``units``.
 
     ``hits``, ``pages``: evidence from the source files. ``decisions``: decision documents
-    and decisions; they resolve review items only, never losses. ``persist`` keeps units and
-    output blocks, which many audits read.
+    and decisions; they resolve review items only, never losses. ``persist`` keeps units,
+    output blocks, items and losses, which many audits and sinks read; ``release`` lets go.
     """
+    ship(units.sparkSession)
     if hits is not None:
         units = evidence.recover(units, hits)
     if persist:
@@ -74,6 +80,8 @@ def run_audit(units: DataFrame, hits: DataFrame | None = None, pages: DataFrame
         matched = review.match_decisions(ranked, ruled, review.decision_status(docs, review.artifact_hashes(units, output)))
         open_items = matched.filter("decision_idx is null").select(*columns)
     loss = reduce(DataFrame.unionByName, losses)
+    if persist:
+        open_items, loss = open_items.persist(), loss.persist()
     return Audit(units, output, disposed, repairs.findings(output), open_items, loss, C.document_status(units, [loss], [open_items]))
 
 

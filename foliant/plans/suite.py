@@ -535,7 +535,7 @@ def fixture_audit(spark, sf_dir):
     """The whole plan over the fixtures: losses, review items and status; tested in the repository."""
     from .audit import run_audit
 
-    return run_audit(X.units(spark), persist=False).status
+    return run_audit(X.units(spark)).status
 
 
 @query()

@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 from ..functions import patterns as P
 from ..functions import text as T
 from ..schemas import DECISION_DOCS, DECISIONS, UNITS
+from ..ship import ship
 
 _PAGES = "array<struct<page_idx:int,page_size:array<double>,para_blocks:array<string>,discarded_blocks:array<string>>>"
 
@@ -55,6 +56,7 @@ def read_parser_json(spark: SparkSession, path: str, engine: str = "engine") ->
 
 def parse_documents(raw: DataFrame, engine: str = "engine") -> DataFrame:
     """Units of doc_id, json: see ``read_parser_json``."""
+    ship(raw.sparkSession)
     pages = raw.select("doc_id", F.posexplode(F.from_json("json", f"pdf_info {_PAGES}")["pdf_info"]).alias("place", "p"))
     pages = pages.select("doc_id", F.coalesce("p.page_idx", "place").alias("page"), "place", F.coalesce("p.para_blocks", F.array()).alias("para"), F.coalesce("p.discarded_blocks", F.array()).alias("gone"), "p.page_size")
 

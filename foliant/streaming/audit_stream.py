@@ -19,8 +19,7 @@ def audit_stream(spark: SparkSession, source: str, target: str, checkpoint: str,
         audit = run_audit(batch)
         for name, frame in (("status", audit.status), ("blocks", audit.output), ("items", audit.items), ("losses", audit.losses)):
             frame.write.mode("overwrite").parquet(f"{target}/{name}/batch={number}")
-        audit.units.unpersist()
-        audit.output.unpersist()
+        audit.release()
 
     units = spark.readStream.schema(schema).json(source)
     return units.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -77,7 +77,7 @@ def test_rendering(spark):
 
 
 def test_audit_and_render_agree(spark):
-    audit = run_audit(X.units(spark, None, "repairs", "sections"), persist=False)
+    audit = run_audit(X.units(spark, None, "repairs", "sections"))
     status = {r.doc_id: r.status for r in audit.status.collect()}
     assert status["sections"] == "draft"
     post = {r.doc_id: (r.status, r.render_status) for r in post_render(audit).collect()}
