@@ -12,6 +12,8 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -23,81 +25,87 @@ from pyspark.sql import DataFrame
 from .common import Generations, only
 
 #: Entries of a worker's cache of pre-tokens.
-CACHE = 600_000
+CACHE = 1_200_000
 #: Longer pre-tokens aren't kept in the cache.
 CACHED_CHARS = 64
 
 
-class RankQueue:
-    """Positions by merge rank; takes the leftmost position of the lowest rank."""
-
-    __slots__ = ("buckets", "low", "mid", "top")
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.low: dict[int, int] = {}  # word of ranks / 64
-        self.mid: dict[int, int] = {}  # word of ranks / 4096
-        self.top = 0  # ranks / 4096
-
-    def push(self, rank: int, at: int) -> None:
-        if bucket := self.buckets.get(rank):
-            heappush(bucket, at)
-            return
-        self.buckets[rank] = [at]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
-        self.mid[b] = self.mid.get(b, 0) | 1 << (a & 63)
-        self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        b = (self.top & -self.top).bit_length() - 1
-        word = self.mid[b]
-        a = b << 6 | (word & -word).bit_length() - 1
-        word = self.low[a]
-        rank = a << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        at = heappop(bucket)
-        if not bucket:
-            self.low[a] = word = word & word - 1
-            if not word:
-                self.mid[b] = word = self.mid[b] & self.mid[b] - 1
+class Merger:
+    """Merges pre-tokens by a table of ranks.
+
+    ``low`` and ``mid`` are the lower levels of the bitmap (a bit for each rank, a bit for
+    each word of ``low``); the top level is a number. A pre-token leaves them empty, so
+    they serve the next one. Buckets hold positions; of a rank's the leftmost goes first.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        most = max(ranks.values(), default=0)
+        self.ranks, self.low, self.mid = ranks, [0] * ((most >> 6) + 1), [0] * ((most >> 12) + 1)
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Token ids of one pre-token. Written out in one piece: it runs for every new one."""
+        find = self.ranks.get
+        if (whole := find(piece)) is not None:
+            return [whole]
+        n, low, mid, top = len(piece), self.low, self.mid, 0
+        follow = list(range(1, n + 1))  # where the part at i ends, and the next begins
+        before = list(range(-1, n - 1))
+        wanted = [-1] * n  # the rank of the part at i with its neighbour; entries of another rank are stale
+        buckets: dict[int, list[int]] = {}
+        for i in range(n - 1):
+            if (rank := find(piece[i : i + 2])) is not None:
+                wanted[i] = rank
+                if rank in buckets:
+                    buckets[rank].append(i)  # in order, which is a heap
+                else:
+                    buckets[rank] = [i]
+                    low[rank >> 6] |= 1 << (rank & 63)
+                    mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+                    top |= 1 << (rank >> 12)
+        while top:
+            # find first set, level by level
+            c = (top & -top).bit_length() - 1
+            word = mid[c]
+            b = c << 6 | (word & -word).bit_length() - 1
+            word = low[b]
+            rank = b << 6 | (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[b] = word = word & word - 1
                 if not word:
-                    self.top &= self.top - 1
-        return rank, at
-
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one pre-token."""
-    if (whole := ranks.get(piece)) is not None:
-        return [whole]
-    n = len(piece)
-    follow = list(range(1, n + 1))  # where the part at i ends, and the next begins
-    before = list(range(-1, n - 1))
-    queue = RankQueue()
-    push, pop, find = queue.push, queue.pop, ranks.get
-    for i in range(n - 1):
-        if (rank := find(piece[i : i + 2])) is not None:
-            push(rank, i)
-    while (entry := pop()) is not None:
-        rank, i = entry
-        j = follow[i]
-        if j < 0 or j >= n or find(piece[i : follow[j]]) != rank:
-            continue  # stale: i was merged away, or its neighbour has grown
-        end = follow[i] = follow[j]
-        follow[j] = -1
-        if end < n:
-            before[end] = i
-            if (rank := find(piece[i : follow[end]])) is not None:
-                push(rank, i)
-        if (p := before[i]) >= 0 and (rank := find(piece[p:end])) is not None:
-            push(rank, p)
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i : follow[i]]])
-        i = follow[i]
-    return out
+                    mid[c] = word = mid[c] & mid[c] - 1
+                    if not word:
+                        top &= top - 1
+            if wanted[i] != rank:
+                continue  # stale: i was merged away, or a neighbour has grown
+            j = follow[i]
+            end = follow[i] = follow[j]
+            wanted[i] = wanted[j] = -1
+            changed = [(before[i], end)] if before[i] >= 0 else []
+            if end < n:
+                before[end] = i
+                changed.append((i, follow[end]))
+            for at, to in changed:
+                if (rank := find(piece[at:to])) is None:
+                    wanted[at] = -1
+                    continue
+                wanted[at] = rank
+                if rank in buckets:
+                    heappush(buckets[rank], at)
+                else:
+                    buckets[rank] = [at]
+                    low[rank >> 6] |= 1 << (rank & 63)
+                    mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+                    top |= 1 << (rank >> 12)
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[piece[i : follow[i]]])
+            i = follow[i]
+        return out
 
 
 class Tokenizer:
@@ -109,11 +117,15 @@ class Tokenizer:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
+        self.merge = Merger(self.ranks).merge
         self.split = regex.compile(pattern).findall
         self.cache = Generations(self._packed, CACHE)
 
     def _packed(self, piece: str) -> bytes:
-        return np.array(merge(piece.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
+        ids = array("I", self.merge(piece.encode("utf-8", "surrogatepass")))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""

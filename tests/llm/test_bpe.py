@@ -33,20 +33,21 @@ def test_same_ids(tok, known):
         assert tok.decode(ids).decode() == t
 
 
-def test_queue_order():
-    rng = random.Random(3)
-    queue, model = bpe.RankQueue(), []
-    for _ in range(5000):
-        if model and rng.random() < 0.5:
-            model.sort()
-            assert queue.pop() == model.pop(0)
-        else:
-            e = (rng.choice([0, 63, 64, 4095, 4096, 50_255, rng.randrange(50_256)]), rng.randrange(1000))
-            model.append(e)
-            queue.push(*e)
-    for e in sorted(model):
-        assert queue.pop() == e
-    assert queue.pop() is None
+def test_queue_is_empty_afterwards(tok):
+    merger = bpe.Merger(tok.ranks)
+    for piece in (b"", b"a", b"unbelievable" * 50, bytes(range(256)) * 3, b"zzzz" * 99):
+        merger.merge(piece) if piece else None
+        assert not any(merger.low)
+        assert not any(merger.mid)
+
+
+def test_other_ranks():
+    """The lowest rank goes first, of a rank the leftmost, and merges open new ones."""
+    ranks = {bytes([c]): c for c in b"abc"} | {b"bc": 4096, b"ab": 200_000, b"abc": 64, b"aa": 5000}
+    merge = bpe.Merger(ranks).merge
+    assert merge(b"abca") == [64, 97]
+    assert merge(b"aaa") == [5000, 97]
+    assert merge(b"abab") == [200_000, 200_000]
 
 
 def test_frames(spark):
