@@ -67,9 +67,13 @@ def coverage(source: DataFrame, output: DataFrame, keys: tuple[str, ...], decode
     ``source`` and ``output`` have keys and ``text``, any number of rows for a key. Keys
     without source tokens aren't listed; they are covered.
     """
-    out = token_counts(output, keys, decode).withColumnRenamed("n", "m")
-    both = token_counts(source, keys, decode).join(out, [*keys, "token"], "left")
-    sums = both.groupBy(*keys).agg(F.sum("n").alias("tokens"), F.sum(F.least("n", F.coalesce("m", F.lit(0)))).alias("covered"))
+    def counted(df: DataFrame, side: str) -> DataFrame:
+        one = [F.lit(int(side == x)).cast("bigint").alias(x) for x in ("n", "m")]
+        return df.select(*keys, F.explode(T.canonical_tokens(F.col("text"), decode)).alias("token"), *one)
+
+    # one sum over both sides instead of a join of two
+    both = counted(source, "n").unionByName(counted(output, "m")).groupBy(*keys, "token").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).filter("n > 0")
+    sums = both.groupBy(*keys).agg(F.sum("n").alias("tokens"), F.sum(F.least("n", "m")).alias("covered"))
     return sums.withColumn("ratio", F.col("covered") / F.col("tokens"))
 
 
@@ -96,13 +100,13 @@ def source_text(units: DataFrame, pages: bool = True) -> DataFrame:
     return units.filter(F.col("granularity").isin(*kinds)).select("doc_id", U.content().alias("text"))
 
 
-def missing_anchors(source: DataFrame, output: DataFrame) -> DataFrame:
+def missing_anchors(source: DataFrame, output: DataFrame, pattern: str = P.REQUIRED_ANCHOR) -> DataFrame:
     """doc_id, anchor of ``source`` (doc_id, anchor) that no text of ``output`` (doc_id, text) shows as a whole token.
 
     Anchors that the output has as such fall away in an anti join; only the few that are
     left are looked for in the texts.
     """
-    left = source.join(document_anchors(output, P.REQUIRED_ANCHOR).unionByName(document_anchors(output, P.CANDIDATE_ANCHOR)).distinct(), ["doc_id", "anchor"], "left_anti")
+    left = source.join(document_anchors(output, pattern), ["doc_id", "anchor"], "left_anti")
     shown = left.join(output, "doc_id").filter(T.anchor_present(F.col("anchor"), F.col("text"))).select("doc_id", "anchor").distinct()
     return left.join(shown, ["doc_id", "anchor"], "left_anti")
 
@@ -115,7 +119,7 @@ def anchor_loss(units: DataFrame, output: DataFrame, pages: bool = True) -> Data
 def candidate_loss(units: DataFrame, output: DataFrame, pages: bool = True) -> DataFrame:
     """G3C: candidate anchors that the output lost, without bare standard numbers."""
     found = document_anchors(source_text(units, pages), P.CANDIDATE_ANCHOR).filter(~F.rlike("anchor", F.lit(P.BARE_STANDARD)))
-    return missing_anchors(found, live_blocks(output).select("doc_id", U.content().alias("text")))
+    return missing_anchors(found, live_blocks(output).select("doc_id", U.content().alias("text")), P.CANDIDATE_ANCHOR)
 
 
 def figure_table_difference(units: DataFrame, output: DataFrame) -> DataFrame:
@@ -165,13 +169,16 @@ def status_of(losses: Column, reviews: Column) -> Column:
     return F.when(losses > 0, "review").when(reviews > 0, "draft").otherwise("final")
 
 
-def document_status(units: DataFrame, losses: list[DataFrame], reviews: list[DataFrame]) -> DataFrame:
-    """doc_id, n_loss, n_review, status for every document; the frames have a doc_id for each finding."""
-    def counted(frames: list[DataFrame], name: str) -> DataFrame:
-        return reduce(DataFrame.unionByName, [f.select("doc_id") for f in frames]).groupBy("doc_id").agg(F.count("*").alias(name))
+def document_status(units: DataFrame, losses: list[DataFrame], reviews: list[DataFrame], bands: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_loss, n_review, status for every document.
 
-    docs = units.select("doc_id").distinct()
-    for frames, name in ((losses, "n_loss"), (reviews, "n_review")):
-        docs = docs.join(counted(frames, name), "doc_id", "left") if frames else docs.withColumn(name, F.lit(None).cast("bigint"))
-    n = [F.coalesce(c, F.lit(0)) for c in ("n_loss", "n_review")]
-    return docs.select("doc_id", n[0].alias("n_loss"), n[1].alias("n_review"), status_of(*n).alias("status"))
+    The frames have a doc_id for each finding; ``bands`` has doc_id and band ('loss' and
+    'review' count, others don't). All is summed at once.
+    """
+    marks = lambda df, loss, review: df.select("doc_id", loss.cast("bigint").alias("n_loss"), review.cast("bigint").alias("n_review"))
+    zero, one = F.lit(0), F.lit(1)
+    parts = [marks(units, zero, zero), *[marks(f, one, zero) for f in losses], *[marks(f, zero, one) for f in reviews]]
+    if bands is not None:
+        parts.append(marks(bands, F.col("band") == "loss", F.col("band") == "review"))
+    sums = reduce(DataFrame.unionByName, parts).groupBy("doc_id").agg(F.sum("n_loss").alias("n_loss"), F.sum("n_review").alias("n_review"))
+    return sums.withColumn("status", status_of(F.col("n_loss"), F.col("n_review")))

@@ -101,11 +101,15 @@ def fragment_pairs(units: DataFrame, used: DataFrame | None = None) -> DataFrame
     return numbered.filter(F.col("nth") % 2 == 1).select("doc_id", F.col("unit_id").alias("lead"), F.col("next_unit_id").alias("unit_id"))
 
 
-def single_block(raw) -> tuple:
-    """Text after bullets and symbols, and the rule that changed it (null if none)."""
-    fixed = T.repair_symbols(T.normalize_bullets(raw))
-    rule = F.when(fixed == F.coalesce(raw, F.lit("")), F.lit(None)).when(T.repair_symbols(raw) != F.coalesce(raw, F.lit("")), "E1").otherwise("D1")
-    return fixed, rule
+def single_blocks(df: DataFrame, raw: str) -> DataFrame:
+    """``df`` with fixed (the text of column ``raw`` after bullets and symbols) and rule (that changed it, or null).
+
+    Step by step, so that each text is reckoned once.
+    """
+    df = df.withColumn("fixed", T.repair_symbols(T.normalize_bullets(F.col(raw)))).withColumn("symbols", T.repair_symbols(F.col(raw)))
+    given = F.coalesce(raw, F.lit(""))
+    rule = F.when(F.col("fixed") == given, F.lit(None)).when(F.col("symbols") != given, "E1").otherwise("D1")
+    return df.withColumn("rule", rule).drop("symbols")
 
 
 def apply_repairs(units: DataFrame) -> DataFrame:
@@ -123,9 +127,10 @@ def apply_repairs(units: DataFrame) -> DataFrame:
     marked = blocks.join(roles, ["doc_id", "unit_id"], "left").withColumn("phase", F.coalesce("phase", F.lit(REST))).withColumn("lead", F.coalesce("lead", "unit_id")).withColumn("role", F.coalesce("role", F.lit(0)))
     part = F.struct("role", "unit_id", F.coalesce("raw_text", F.lit("")).alias("raw"), "page", F.struct(*[c.alias(n) for n, c in zip(("page", "y0", "x0", "ord"), U.order(), strict=True)]).alias("at"), "dtype", F.when(F.col("phase") == REST, U.safe_discard()).otherwise(False).alias("discard"))
     grouped = marked.groupBy("doc_id", "phase", "lead").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    grouped = single_blocks(grouped.withColumn("raw", F.col("parts")[0]["raw"]), "raw")
     first = F.col("parts")[0]
     merged = F.array_join(F.transform("parts", lambda p: T.stripped(p["raw"])), " ")
-    fixed, rule = single_block(first["raw"])
+    fixed, rule = F.col("fixed"), F.col("rule")
     rest, discard = F.col("phase") == REST, first["discard"]
     text = F.when(~rest, merged).when(discard, first["raw"]).when(rule.isNull(), first["raw"]).otherwise(fixed)
     rule_id = F.when(F.col("phase") == D0, "D0").when(F.col("phase") == A1, "A1").when(F.col("phase") == B1, "B1").when(discard, "C2").otherwise(rule)
@@ -133,7 +138,8 @@ def apply_repairs(units: DataFrame) -> DataFrame:
     confidence = F.when(F.col("phase").isin(D0, A1), 0.9).when(F.col("phase") == B1, 0.86).when(discard, 0.95).when(rule.isNotNull(), 0.88).otherwise(1.0)
     disposition = F.when(~rest, "merged").when(discard, "discarded").otherwise("emitted")
     output_id = F.concat(F.lit("out:"), F.when(F.col("phase") == A1, F.element_at("parts", -1)["unit_id"]).otherwise(F.col("lead")), F.when(F.col("phase") == D0, ":toc").when(F.col("phase") == B1, ":join").when(rest & discard, ":discard").otherwise(""))
-    out = grouped.select("doc_id", "phase", first["at"].alias("at"), output_id.alias("output_id"), text.alias("raw_text"), T.normalize_audit(text).alias("audit_text"), F.transform("parts", lambda p: p["unit_id"]).alias("source_refs"), operation.alias("operation"), confidence.alias("confidence"), disposition.alias("disposition"), first["page"].alias("page"), rule_id.alias("rule_id"))
+    grouped = grouped.withColumn("text", text)
+    out = grouped.select("doc_id", "phase", first["at"].alias("at"), output_id.alias("output_id"), F.col("text").alias("raw_text"), T.normalize_audit(F.col("text")).alias("audit_text"), F.transform("parts", lambda p: p["unit_id"]).alias("source_refs"), operation.alias("operation"), confidence.alias("confidence"), disposition.alias("disposition"), first["page"].alias("page"), rule_id.alias("rule_id"))
     seq = F.row_number().over(Window.partitionBy("doc_id").orderBy("phase", "at")) - 1
     return out.withColumn("seq", seq).drop("at")
 

@@ -52,9 +52,8 @@ def line(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lossy(units: DataFrame) -> DataFrame:
     """Output blocks that lost some blocks and pages by a fixed rule, for the audits."""
     kept = units.filter((F.col("ord") % 10 != 3) & ((F.col("doc_id").cast("bigint") + F.col("page")) % 17 != 0))
-    fixed, rule = repairs.single_block(F.col("raw_text"))
-    text = F.when(rule.isNull(), F.col("raw_text")).otherwise(fixed)
-    return kept.select("doc_id", F.lit(4).alias("phase"), F.col("ord").alias("seq"), F.concat(F.lit("out:"), "unit_id").alias("output_id"), text.alias("raw_text"), T.normalize_audit(text).alias("audit_text"), F.array("unit_id").alias("source_refs"), F.lit("emit").alias("operation"), F.lit("emitted").alias("disposition"), "page")
+    fixed = repairs.single_blocks(kept, "raw_text").withColumn("text", F.when(F.col("rule").isNull(), F.col("raw_text")).otherwise(F.col("fixed")))
+    return fixed.select("doc_id", F.lit(4).alias("phase"), F.col("ord").alias("seq"), F.concat(F.lit("out:"), "unit_id").alias("output_id"), F.col("text").alias("raw_text"), T.normalize_audit(F.col("text")).alias("audit_text"), F.array("unit_id").alias("source_refs"), F.lit("emit").alias("operation"), F.lit("emitted").alias("disposition"), "page")
 
 
 # --- pieces of SQL -----------------------------------------------------------------------
@@ -202,8 +201,7 @@ def doc_status(spark, sf_dir):
     """AG2 over G1 and G2: which documents are final, draft or for review?"""
     units = frag(spark, sf_dir)
     output = lossy(units)
-    covered = C.page_coverage(units, output, decode=False)
-    return C.document_status(units, [C.missing_pages(units, output), covered.filter("band = 'loss'")], [covered.filter("band = 'review'")])
+    return C.document_status(units, [C.missing_pages(units, output)], [], C.page_coverage(units, output, decode=False))
 
 
 @query(f"WITH {FRAG}, {KEPT}, a AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{REQUIRED}')) AS anchor FROM u), r AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{REQUIRED}')) AS anchor FROM kept) SELECT doc_id, lower(anchor) AS anchor FROM a ANTI JOIN r USING (doc_id, anchor)")
