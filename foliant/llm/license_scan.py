@@ -6,9 +6,11 @@ verifies them.
 
 *Windows.* Templates fall in size classes, powers of two of their word counts. Windows
 are three class sizes long and move by one, so each place of a template lies whole in a
-window together with what the template's own deviations add. A window that holds 80
-percent of a template of at least half the class size has a similarity of 0.13 or more,
-and with ``BANDS`` bands of one value each they meet with a probability of 0.9999.
+window together with what the template's own deviations add. Its similarity to a window that
+holds 80 percent of its shingles follows from their counts: 0.05 for five words (one of a
+window's 20), 0.09 for nine, 0.12 for 33. Each class has as many bands of one value each
+as its least similar template needs to miss such a window with a probability of at most
+``MISSED``: 180 for five words, 99 for nine.
 
 *Cover words.* A window with 80 percent of a template's shingles misses fewer of them
 than any set of over 20 percent has. For such a set of each template, words are chosen
@@ -18,6 +20,7 @@ words can't hold a template and go no further; nothing is lost by that.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -26,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import only
 
-#: Words of a shingle, the least share of a template's shingles, bands.
-SIZE, CONTAINED, BANDS = 5, 0.8, 64
+#: Words of a shingle, the least share of a template's shingles, the most probable miss of a window.
+SIZE, CONTAINED, MISSED = 5, 0.8, 1e-4
 
 # Notices by which public licenses are declared.
 TEMPLATES = {
@@ -91,6 +94,15 @@ def size_class(words: int) -> int:
     return max(SIZE + 3, 1 << (words - 1).bit_length())
 
 
+def bands_for(template: str, contained: float) -> int:
+    """Bands by which a full window with just ``contained`` of the template is missed at most once in 1 / ``MISSED``."""
+    words = words_of(template)
+    wanted, window = len(shingles_of(words)), 3 * size_class(len(words)) - SIZE + 1
+    held = max(1, math.ceil(contained * wanted - 1e-9))
+    similarity = held / (window + wanted - held)
+    return math.ceil(math.log(MISSED) / math.log(1 - similarity))
+
+
 def _lowered(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -110,24 +122,29 @@ def _shingles(words: Column, size: int = SIZE) -> Column:
     return F.transform(F.array(words), made)[0]  # the words are reckoned once
 
 
-def _band_keys(shingles: Column, bands: int) -> Column:
+def _band_keys(shingles: Column, bands: Column) -> Column:
     """One key for each band: its number and the least of the shingles' hashes under its seed."""
-    return F.transform(F.sequence(F.lit(1), F.lit(bands)), lambda b: F.xxhash64(b, F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, b * SEED)))))
+    return F.transform(F.sequence(F.lit(1), bands), lambda b: F.xxhash64(b, F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, b * SEED)))))
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, contained: float = CONTAINED, bands: int = BANDS) -> DataFrame:
+def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, contained: float = CONTAINED, bands: int | None = None) -> DataFrame:
     """One row for each document and license found in it: doc_id, license, containment, first_word, places.
 
     A license is found if a window holds ``contained`` of its shingles: ``containment``
     is the most of any window, ``first_word`` the first window's first word (from 0),
-    ``places`` the number of such windows. Words are runs of a-z and 0-9 in lower case.
+    ``places`` the number of such windows. ``bands`` sets one number of bands for all size
+    classes. Words are runs of a-z and 0-9 in lower case.
     Null and empty texts and null ids have no licenses; repeated rows count once; an
     empty table gives an empty table; other columns are ignored.
     """
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
-    rows = [(name, size_class(len(words_of(t))), sorted(shingles_of(words_of(t)))) for name, t in templates.items()]
-    known = spark.createDataFrame(rows, "license string, class int, wanted array<string>")
+    needed: dict[int, int] = {}
+    for t in templates.values():
+        c = size_class(len(words_of(t)))
+        needed[c] = max(needed.get(c, 1), bands or bands_for(t, contained))
+    rows = [(name, c := size_class(len(words_of(t))), needed[c], sorted(shingles_of(words_of(t)))) for name, t in templates.items()]
+    known = spark.createDataFrame(rows, "license string, class int, bands int, wanted array<string>")
     base = only(docs, doc_id="bigint", text="string").filter("doc_id is not null").select("doc_id", _lowered(F.col("text")).alias("low"))
     cover = cover_words(templates, contained)
 
@@ -138,15 +155,18 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
         return hit
 
     worded = base.filter(covered("low")).select("doc_id", _words(F.col("low")).alias("words")).filter(F.size("words") > 0)
-    classes = F.array(*[F.lit(c) for c in sorted({r[1] for r in rows})])
+    classes = F.array(*[F.lit(c) for c in sorted(needed)])
+    bands_in = F.lit(0)
+    for c, n in needed.items():
+        bands_in = F.when(F.col("class") == c, n).otherwise(bands_in)
     sized = worded.select("doc_id", "words", F.explode(classes).alias("class"))
     # a text of n words has windows at 0, class, 2 * class, ... up to the first that reaches its end
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 2 * F.col("class") - 1), F.col("class"))
     windows = sized.select("doc_id", "class", "words", F.explode(starts).alias("start"))
     windows = windows.select("doc_id", "class", "start", F.array_join(F.slice("words", F.col("start") + 1, 3 * F.col("class")), " ").alias("part")).filter(covered("part"))
     windows = windows.select("doc_id", "class", "start", _shingles(F.split("part", " ")).alias("shingles"))
-    keyed = windows.select("doc_id", "class", "start", "shingles", F.explode(_band_keys(F.col("shingles"), bands)).alias("key"))
-    bands_of = known.select("license", "class", "wanted", F.explode(_band_keys(F.col("wanted"), bands)).alias("key"))
+    keyed = windows.select("doc_id", "class", "start", "shingles", F.explode(_band_keys(F.col("shingles"), bands_in)).alias("key"))
+    bands_of = known.select("license", "class", "wanted", F.explode(_band_keys(F.col("wanted"), F.col("bands"))).alias("key"))
     # the templates are fixed, so their side has a proven bound
     candidates = keyed.join(F.broadcast(bands_of), ["class", "key"])
     share = F.size(F.array_intersect("shingles", "wanted")) / F.size("wanted")

@@ -1,3 +1,5 @@
+import random
+
 from foliant.llm import license_scan as L
 
 
@@ -36,3 +38,35 @@ def test_cover_words_lose_nothing():
         s = L.shingles_of(L.words_of(t))
         free = {x for x in s if not any(c in x for c in cover)}
         assert len(free) < L.CONTAINED * len(s)
+
+
+def test_bands_follow_the_shingles():
+    assert L.bands_for("Released under the MIT License.", 0.8) == 180  # one of 20 shingles
+    for t in L.TEMPLATES.values():
+        words = L.words_of(t)
+        wanted, window = len(words) - 4, 3 * L.size_class(len(words)) - 4
+        held = -(-8 * wanted // 10)
+        assert (1 - held / (window + wanted - held)) ** L.bands_for(t, 0.8) <= 1.0001e-4
+
+
+def test_every_template_at_many_places(spark):
+    """Unlike words around each template, at the beginning, within and at the end; short ones most often."""
+    rng = random.Random(5)
+    fill = lambda n: " ".join(f"q{rng.randrange(10**6)}" for _ in range(n))
+    want, docs = set(), []
+    for name, t in L.TEMPLATES.items():
+        for k in range(300 if len(L.words_of(t)) <= 6 else 9):
+            i = len(docs)
+            docs.append((i, f"{fill((0, rng.randrange(300), 40)[k % 3])} {t} {fill((60, rng.randrange(300), 0)[k % 3])}"))
+            want.add((i, name))
+    got = L.license_scan(spark.createDataFrame(docs, "doc_id long, text string").repartition(8)).collect()
+    assert want <= {(r.doc_id, r.license) for r in got}
+
+
+def test_short_notices_of_any_hash(spark):
+    """300 notices of five words, each at the beginning of a text of a full window."""
+    rng = random.Random(6)
+    notices = {f"T{i}": f"license a{rng.randrange(10**6)} b{i} c{rng.randrange(10**6)} d" for i in range(300)}
+    docs = [(i, " ".join([t, *(f"q{rng.randrange(10**6)}" for _ in range(19))])) for i, t in enumerate(notices.values())]
+    got = L.license_scan(spark.createDataFrame(docs, "doc_id long, text string").repartition(8), notices).collect()
+    assert {(r.doc_id, r.license) for r in got} == {(i, f"T{i}") for i in range(300)}
