@@ -81,8 +81,8 @@ _COVERAGE = f"{FRAG}, {KEPT}, {_counts('s', 'u', 'doc_id, page')}, {_counts('o',
 # --- text forms, ids, inventory ----------------------------------------------------------
 @query(f"SELECT doc_id, length(c) AS n_chars, sha256(c) AS digest FROM (SELECT doc_id, lower({SQUEEZE.format(t="regexp_replace(coalesce(text, ''), '([A-Za-z])-' || chr(10) || '([A-Za-z])', '\\1\\2', 'g')")}) AS c FROM documents)")
 def canonicalize_documents(spark, sf_dir):
-    """P1; the corpus has no character references, compatibility forms or bullets, so nothing is decoded."""
-    c = T.normalize_for_audit(F.col("text"), decode=False)
+    """P1. The SQL decodes nothing, so it agrees only where no character references, compatibility forms or bullets stand."""
+    c = T.normalize_for_audit(F.col("text"))
     return documents(spark, sf_dir).select("doc_id", F.length(c).cast("bigint").alias("n_chars"), F.sha2(c, 256).alias("digest"))
 
 
@@ -133,12 +133,12 @@ def plausible_section_anchors(spark, sf_dir):
 def token_counts_page(spark, sf_dir):
     """P20."""
     rows = frag(spark, sf_dir).select("doc_id", F.col("page").cast("bigint").alias("page"), F.col("audit_text").alias("text"))
-    return C.token_counts(rows, ("doc_id", "page"), decode=False).groupBy("doc_id", "page").agg(F.sum("n").alias("tokens"), F.count("*").alias("different"))
+    return C.token_counts(rows, ("doc_id", "page")).groupBy("doc_id", "page").agg(F.sum("n").alias("tokens"), F.count("*").alias("different"))
 
 
 def _covered(spark, sf_dir) -> DataFrame:
     units = frag(spark, sf_dir)
-    return C.page_coverage(units, lossy(units), decode=False)
+    return C.page_coverage(units, lossy(units))
 
 
 @query(f"WITH {_COVERAGE} SELECT doc_id, page, CAST(tokens AS BIGINT) AS tokens, CAST(covered AS BIGINT) AS covered, round(covered / tokens, 6) AS ratio FROM cov")
@@ -183,14 +183,14 @@ _SAMPLE = f"{FRAG}, c AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER
 @query(f"WITH {_SAMPLE} SELECT doc_id, unit_id, page, tokens FROM sample")
 def systematic_sample(spark, sf_dir):
     """G5s."""
-    return C.systematic_sample(frag(spark, sf_dir), decode=False).select("doc_id", "unit_id", F.col("page").cast("bigint").alias("page"), "tokens")
+    return C.systematic_sample(frag(spark, sf_dir)).select("doc_id", "unit_id", F.col("page").cast("bigint").alias("page"), "tokens")
 
 
 @query(f"WITH {_SAMPLE}, {KEPT} SELECT doc_id, unit_id, tokens, CASE WHEN k.unit_id IS NULL THEN 0 ELSE tokens END AS covered, k.unit_id IS NULL AS failed FROM sample s LEFT JOIN (SELECT doc_id, unit_id FROM kept) k USING (doc_id, unit_id)")
 def sample_coverage(spark, sf_dir):
     """G5, J9."""
     units = frag(spark, sf_dir)
-    return C.sample_coverage(units, lossy(units), decode=False).select("doc_id", "unit_id", "tokens", "covered", "failed")
+    return C.sample_coverage(units, lossy(units)).select("doc_id", "unit_id", "tokens", "covered", "failed")
 
 
 _STATUS = f"{_COVERAGE}, gone AS (SELECT DISTINCT doc_id, page FROM u ANTI JOIN kept USING (doc_id, page)), loss AS (SELECT doc_id FROM gone UNION ALL SELECT doc_id FROM cov WHERE covered / tokens < 0.77), rev AS (SELECT doc_id FROM cov WHERE covered / tokens >= 0.77 AND covered / tokens < 0.92), st AS (SELECT d.doc_id, coalesce(l.n, 0) AS n_loss, coalesce(r.n, 0) AS n_review, CASE WHEN l.n > 0 THEN 'review' WHEN r.n > 0 THEN 'draft' ELSE 'final' END AS status FROM (SELECT DISTINCT doc_id FROM u) d LEFT JOIN (SELECT doc_id, count(*) AS n FROM loss GROUP BY 1) l USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM rev GROUP BY 1) r USING (doc_id))"
@@ -201,7 +201,7 @@ def doc_status(spark, sf_dir):
     """AG2 over G1 and G2: which documents are final, draft or for review?"""
     units = frag(spark, sf_dir)
     output = lossy(units)
-    return C.document_status(units, [C.missing_pages(units, output)], [], C.page_coverage(units, output, decode=False))
+    return C.document_status(units, [C.missing_pages(units, output)], [], C.page_coverage(units, output))
 
 
 @query(f"WITH {FRAG}, {KEPT}, a AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{REQUIRED}')) AS anchor FROM u), r AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{REQUIRED}')) AS anchor FROM kept) SELECT doc_id, lower(anchor) AS anchor FROM a ANTI JOIN r USING (doc_id, anchor)")
