@@ -34,12 +34,22 @@ CACHE, STEP = 300_000, 20_000
 #: Texts of so many words or more keep their evidence a word, so that scores stay below one.
 TEMPERED = 30
 
-_WORDS = re.compile(r"[^\W\d_]+").findall
+_RUNS = re.compile(r"[^\W\d_]+").findall
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 20
 MARK = "▁"
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters (Unicode's L categories) in lower case: fractions, circled and Roman numerals are none."""
+    if not text:
+        return []
+    runs = _RUNS(text.lower())
+    if text.isascii():
+        return runs
+    return [w for run in runs for w in ((run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
+
+
 class Pieces:
     """The vocabulary as a hash table of substrings."""
 
@@ -54,12 +64,11 @@ class Pieces:
         self.powers = self._powers()
         keys = np.array([self._hash(p) for p in self.pieces], np.uint64)
         slots = self._slot(keys)
-        self.first = np.full(1 << _SLOTS, -1, np.int32)
-        self.second = np.full(1 << _SLOTS, -1, np.int32)
         self.keys = np.append(keys, np.uint64(0))
+        #: as many tables as the fullest slot has pieces, so that no piece is lost
+        self.tables = [np.full(1 << _SLOTS, -1, np.int32) for _ in range(np.bincount(slots).max(initial=1))]
         for i, s in enumerate(slots.tolist()):
-            table = self.first if self.first[s] < 0 else self.second
-            table[s] = i
+            next(t for t in self.tables if t[s] < 0)[s] = i
 
     @staticmethod
     def _powers() -> np.ndarray:
@@ -81,9 +90,15 @@ class Pieces:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of the pieces with these hashes; -1 for none."""
         slots = self._slot(keys)
-        i = self.first[slots]
-        j = self.second[slots]
-        return np.where((i >= 0) & (self.keys[i] == keys), i, np.where((j >= 0) & (self.keys[j] == keys), j, -1))
+        out = np.full(keys.shape, -1, np.int32)
+        for k, table in enumerate(self.tables):
+            i = table[slots]
+            if k == 0:
+                out = np.where((i >= 0) & (self.keys[i] == keys), i, out)
+            elif len(at := np.flatnonzero(i >= 0)):  # few slots hold more than one piece
+                at = at[self.keys[i[at]] == keys[at]]
+                out[at] = i[at]
+        return out
 
 
 @functools.cache
@@ -232,7 +247,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, path: str | None = No
         for batch in batches:
             by_lang: dict[str, Counter] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_lang.setdefault(lang, Counter()).update(_WORDS((text or "").lower()))
+                by_lang.setdefault(lang, Counter()).update(words_of(text))
             out = [(lang, w, n) for lang, c in by_lang.items() for w, n in c.items()]
             a, b, c = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())], ["lang", "word", "n"])
@@ -275,7 +290,7 @@ class Predictor:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         langs = self.model.langs
-        texts = [_WORDS(t.lower()) if t else [] for t in texts]
+        texts = [words_of(t) for t in texts]
         missing = list({w for t in texts for w in t}.difference(self.known))
         if len(self.known) + len(missing) > CACHE:
             self.known, self.values = {}, np.empty((0, len(langs)), np.float32)

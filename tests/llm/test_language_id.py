@@ -60,3 +60,20 @@ def test_odd_rows(spark):
     empty = docs.limit(0)
     assert G.language_id(empty).count() == 0
     assert {r.lang_pred for r in G.language_id(docs.selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()} == {"und"}
+
+
+def test_every_piece_is_found(vocab):
+    keys = np.array([vocab._hash(p) for p in vocab.pieces], np.uint64)
+    assert (vocab.find(keys) == np.arange(len(keys))).all()
+
+
+def test_only_letters_are_words():
+    assert G.words_of("½ ² ① Ⅷ 12 _") == []
+    assert G.words_of("x²y Straße½ ÉTÉ 漢字") == ["x", "y", "straße", "été", "漢字"]
+
+
+def test_texts_without_letters_and_a_very_long_word(spark):
+    docs = spark.createDataFrame([(1, "the house of the king", "en"), (2, "der hund und die katze", "de"), (10, "½ ² ①", None), (11, "4711 Ⅷ", "de"), (12, "ab" * 100_000, None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in G.language_id(docs).collect()}
+    assert got[10] == got[11] == ("und", 0.0)
+    assert 0 <= got[12][1] <= 1
