@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -23,26 +26,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (local tests) a folder of this machine is made and set.
+    Where that is unset, a session that runs in one process (master ``local``) gets a folder
+    of its machine; any other session is refused, as its executors couldn't read each
+    other's tables.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = getattr(shared_dir, "own", None)
         if not found:
             found = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="foliant-shared-")
+            atexit.register(shutil.rmtree, found.removeprefix("file://"), ignore_errors=True)
     return found.rstrip("/")
 
 
+def application_dir(spark: SparkSession) -> str:
+    """Below the shared folder, the folder of this application's tables."""
+    return f"{shared_dir(spark)}/foliant/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to a new folder under the shared folder and reads it again.
+    """Writes ``df`` to a new folder of the application and reads it again.
 
     It cuts lineage: a lost executor costs its own running tasks, never what stands
-    before this point.
+    before this point. ``discard`` deletes one such table, ``clear`` all of them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliant/{label}-{uuid.uuid4().hex}"
+    path = f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table of ``materialise`` that nothing reads any more, neither a pending result."""
+    _delete(df.sparkSession, df.written_to)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all tables that operators of this application have written, once their results are used."""
+    _delete(spark, application_dir(spark))
 
 
 def only(df: DataFrame, **columns: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -41,6 +41,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialise(ends.select(F.greatest("a", "b").cast("bigint").alias("u"), F.least("a", "b").cast("bigint").alias("v")).distinct(), "edges")
     before, now = None, _state(edges)
     while now != before and now[0]:
-        edges = materialise(_small_star(_large_star(edges)), "edges")
+        old, edges = edges, materialise(_small_star(_large_star(edges)), "edges")
+        discard(old)
         before, now = now, _state(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

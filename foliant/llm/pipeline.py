@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import materialise, ship, table
+from .common import discard, materialise, ship, table
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .near_dedup import near_dedup
 from .toxicity import Scorer, train
 
-#: Words of a shingle and percentage of the near-duplicate stage.
-SHINGLE, PERCENT = 5, 80
+#: Words of a shingle and percentage of the near-duplicate stage: those of op6_near_dedup, which it calls.
+SHINGLE, PERCENT = 2, 80
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, 0.8) the smallest doc_id stays."""
+    """Of each group of near duplicates (two-word shingles, 0.8) the smallest doc_id stays."""
     return _without(docs, near_dedup(docs, size=SHINGLE, percent=PERCENT).filter("not kept"))
 
 
@@ -69,7 +69,9 @@ STAGES = [("toxicity", toxicity_stage), ("exact_dedup", exact_stage), ("near_ded
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what one leaves is written and read again for the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs = source = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        old, docs = docs, materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if old is not source:
+            discard(old)
     return STAGES[-1][1](spark, docs, sf_dir)
