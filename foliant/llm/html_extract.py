@@ -1,12 +1,22 @@
 """HTML extraction with a site style tree.
 
-The pages of a host are merged into one tree: a node is a path of tags with their
-classes. A node's importance is the entropy, over the different pages of the host that
-have it, of its presentation (the styles of its children) and of its content (the text
-below it), each relative to the most that so many pages allow. Branches that look and
-read alike on nearly every page have little importance and are cut from each page. What
-no page needs others for (menus, forms, adverts and the like, by tag, role or class) is
-cut as well. What remains of the article is given block by block.
+*Tree.* The pages of a host are merged into one tree: a node is a path of tags with their
+classes, whatever their names mean. A node's importance is half the entropy of its content
+(the text below it on each page, relative to the most that so many pages allow, with one
+page of other text added so that few equal pages prove little) and half the entropy of
+its presentation (the styles of its children and the size of its own text, relative to
+that of ``KINDS`` equally frequent ones).
+
+*Main branch.* Menus, adverts and footers may read differently on every page, but they are
+built alike; articles are not. So the outermost nodes of high importance that hold enough
+of a host's text are the article, with the title beside it if an ``article`` element holds both.
+
+*Cut branches.* Nodes that look and read alike on nearly every page are cut from it.
+
+*Names.* Reader comments, forms, share buttons and the like differ as articles do; tags,
+roles and class names, by fixed lists, take them out of the main branch. Where the tree
+finds none (hosts with few pages, single pages of another build), names alone decide: what is in ``article``, else
+in ``main``, else all that no name takes out.
 """
 
 from __future__ import annotations
@@ -14,6 +24,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -22,13 +33,13 @@ from pyspark.sql import functions as F
 
 from .common import materialise, only
 
-#: A node needs so many different pages before its entropy counts.
-LEAST_PAGES = 8
+#: From this importance on a node is a main branch, if it holds this share of the host's text.
+MOST_IMPORTANCE, LEAST_MASS = 0.85, 0.2
 #: Below this importance a branch is cut.
 LEAST_IMPORTANCE = 0.2
-#: Weight of content against presentation.
-CONTENT = 0.8
-#: Up to so many cut branches are sent to every task; more are joined to the pages by host.
+#: Weight of content against presentation; presentations that make a node fully important.
+CONTENT, KINDS = 0.5, 8
+#: Up to so many of these nodes are sent to every task; more are joined to the pages by host.
 SENT = 50_000
 
 # HTML's own names, and names that sites give to what isn't the article.
@@ -48,19 +59,31 @@ NOISE_NAMES = frozenset(
     "search searchbox searchform pagination pager copyright disclaimer skip skiplink contentinfo complementary".split()
 )
 PAGE_HEADERS = frozenset(("header", "banner", "siteheader", "pageheader"))
-NEVER_CUT = frozenset(("html", "body", "article", "main"))
+NEVER_NOISE = frozenset(("html", "body", "article", "main"))
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: numbers in class names that count pages rather than styles
+_DIGITS = re.compile(r"\d{3,}")
 NAMES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "inside", "cut")
+    """An open element. noise: by names; inside: an article, main or main branch; article: number of the outermost one."""
 
-    def __init__(self, tag: str, path: int, noise: bool, inside: bool, cut: bool) -> None:
-        self.tag, self.path, self.noise, self.inside, self.cut = tag, path, noise, inside, cut
+    __slots__ = ("tag", "path", "noise", "inside", "cut", "high", "article", "main")
+
+    def __init__(self, tag: str, path: int, noise: bool, inside: bool, cut: bool, high: bool, article: int, main: bool) -> None:
+        self.tag, self.path, self.noise, self.inside, self.cut, self.high, self.article, self.main = tag, path, noise, inside, cut, high, article, main
+
+
+class Block(NamedTuple):
+    text: str
+    cut: bool
+    high: bool
+    article: int
+    main: bool
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -68,8 +91,8 @@ def attributes(text: str) -> dict[str, str]:
 
 
 def noisy(tag: str, given: dict[str, str], inside: bool) -> bool:
-    """Is the element something else than the article, by its own name? inside: an article."""
-    if tag in NEVER_CUT and not inside:
+    """Is the element something else than the article, by its own name? inside: an article or main branch."""
+    if tag in NEVER_NOISE and not inside:
         return False
     if tag in NOISE_TAGS or tag == "header" and not inside:
         return True
@@ -82,39 +105,38 @@ def noisy(tag: str, given: dict[str, str], inside: bool) -> bool:
 
 
 class Page:
-    """One pass over a page: its blocks of text, and the nodes for the style tree."""
+    """One pass over a page: its blocks of text, or with ``tree`` the nodes for the style tree."""
 
-    def __init__(self, source: str, low: frozenset[int] | set[int] = frozenset(), tree: bool = False) -> None:
-        #: (text, is it in an article, is it in main), of kept branches; the same without the cut by importance
-        self.blocks: list[tuple[str, bool, bool]] = []
-        self.uncut: list[tuple[str, bool, bool]] = []
+    def __init__(self, source: str, low: frozenset[int] | set[int] = frozenset(), high: frozenset[int] | set[int] = frozenset(), tree: bool = False) -> None:
+        self.blocks: list[Block] = []
         self.styles: dict[int, int] = {}
         self.contents: dict[int, int] = {}
-        self._low, self._tree = low, tree
-        self._stack = [Node("", 0, False, False, False)]
+        self.sizes: dict[int, int] = {}
+        self.own: dict[int, int] = {}
+        self._low, self._high, self._tree, self._articles = low, high, tree, 0
+        self._stack = [Node("", 0, False, False, False, False, 0, False)]
         self._text: list[str] = []
         self._parse(source)
 
     def _flush(self) -> None:
         if self._text:
             if text := " ".join("".join(self._text).split()):
-                tags = {n.tag for n in self._stack}
-                block = (text, "article" in tags, "main" in tags)
-                self.uncut.append(block)
-                if not self._stack[-1].cut:
-                    self.blocks.append(block)
+                top = self._stack[-1]
+                self.blocks.append(Block(text, top.cut, top.high, top.article, top.main))
             self._text = []
 
     def _words(self, raw: str) -> None:
         top = self._stack[-1]
-        if top.noise:
-            return
-        text = references.unescape(raw) if "&" in raw else raw
-        self._text.append(text)
-        if self._tree and not text.isspace():
-            h = xxhash.xxh3_64_intdigest(" ".join(text.split()))
-            for path in {n.path for n in self._stack[1:]}:
-                self.contents[path] = (self.contents.get(path, 0) * 0x9E3779B1 + h) & 0xFFFFFFFFFFFFFFFF
+        if self._tree:
+            if not raw.isspace():
+                text = " ".join((references.unescape(raw) if "&" in raw else raw).split())
+                h = xxhash.xxh3_64_intdigest(text)
+                for path in {n.path for n in self._stack}:
+                    self.contents[path] = (self.contents.get(path, 0) * 0x9E3779B1 + h) & 0xFFFFFFFFFFFFFFFF
+                    self.sizes[path] = self.sizes.get(path, 0) + len(text)
+                self.own[top.path] = self.own.get(top.path, 0) + len(text)
+        elif not top.noise:
+            self._text.append(references.unescape(raw) if "&" in raw else raw)
 
     def _pop(self, at: int) -> None:
         if any(n.tag in BLOCKS for n in self._stack[at:]):
@@ -140,17 +162,22 @@ class Page:
         if tag in BLOCKS:
             self._flush()
         top = self._stack[-1]
-        style = f"{tag}.{'.'.join(sorted(given.get('class', '').split()))}"
+        style = f"{tag}.{'.'.join(sorted(_DIGITS.sub('0', given.get('class', '')).split()))}"
         path = xxhash.xxh3_64_intdigest(f"{top.path}/{style}")
-        if self._tree and not top.noise:
+        if self._tree:
             self.styles[top.path] = (self.styles.get(top.path, 0) * 0x85EBCA77 + xxhash.xxh3_64_intdigest(style)) & 0xFFFFFFFFFFFFFFFF
         if tag == "br":
             self._text.append("\n")
         if tag in VOID or empty:
             return
         noise = top.noise or noisy(tag, given, top.inside)
-        inside = top.inside or tag in ("article", "main") or given.get("role") in ("main", "article")
-        self._stack.append(Node(tag, path, noise, inside, top.cut or path in self._low and tag not in NEVER_CUT))
+        high = top.high or path in self._high
+        inside = top.inside or high or tag in ("article", "main") or given.get("role") in ("main", "article")
+        article = top.article
+        if tag == "article" and not article:
+            self._articles += 1
+            article = self._articles
+        self._stack.append(Node(tag, path, noise, inside, top.cut or path in self._low, high, article, top.main or tag == "main"))
 
     def _parse(self, source: str) -> None:
         at = 0
@@ -178,19 +205,18 @@ class Page:
         self._flush()
 
     def text(self) -> str:
-        """Of the articles if there are any, else of main, else of all; cut branches stay if nothing else is left."""
-        for blocks in (self.blocks, self.uncut):
-            for part in ([b[0] for b in blocks if b[1]], [b[0] for b in blocks if b[2]], [b[0] for b in blocks]):
-                if part:
-                    return "\n".join(part)
-            if not self.uncut:
-                break
+        """The main branch of the tree; without one the articles, else main, else all. Cut branches stay if nothing else is left."""
+        around = {b.article for b in self.blocks if b.high and b.article}
+        for part in ([b for b in self.blocks if b.high or b.article in around], [b for b in self.blocks if b.article], [b for b in self.blocks if b.main], self.blocks):
+            if part:
+                return "\n".join(b.text for b in ([b for b in part if not b.cut] or part))
         return ""
 
-    def nodes(self) -> list[tuple[int, int, int]]:
-        """(path, 0 for content or 1 for presentation, value) with signed 64-bit numbers."""
+    def nodes(self) -> list[tuple[int, int, int, int]]:
+        """(path, content, presentation, characters) of nodes with text; signed 64-bit numbers."""
         signed = lambda x: x - (1 << 64) if x >> 63 else x
-        return [(signed(p), 0, signed(v)) for p, v in self.contents.items()] + [(signed(p), 1, signed(self.styles.get(p, 0))) for p in self.contents]
+        shown = lambda p: (self.styles.get(p, 0) * 0x9E3779B1 + self.own.get(p, 0).bit_length()) & 0xFFFFFFFFFFFFFFFF
+        return [(signed(p), signed(v), signed(shown(p)), self.sizes[p]) for p, v in self.contents.items()]
 
 
 def host_of(url):
@@ -199,54 +225,66 @@ def host_of(url):
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())]))
+    kind = pa.list_(pa.struct([("path", pa.int64()), ("content", pa.int64()), ("presentation", pa.int64()), ("size", pa.int64())]))
     for batch in batches:
         sources = batch.column(1).to_pylist()
-        nodes = [[{"path": p, "kind": k, "value": v} for p, k, v in Page(s or "", tree=True).nodes()] for s in sources]
+        nodes = [[{"path": p, "content": c, "presentation": v, "size": n} for p, c, v, n in Page(s or "", tree=True).nodes()] for s in sources]
         pages = [xxhash.xxh3_128_digest((s or "").encode("utf-8", "surrogatepass")) for s in sources]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pages, pa.binary()), pa.array(nodes, kind)], ["host", "page", "nodes"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages, importance: the nodes of every host's style tree.
+    """host, path, pages, content, presentation, importance, mass: the nodes of every host's style tree.
 
-    Copies of a page count once. Counts are combined before each shuffle, so a host with
-    very many pages meets in no task.
+    ``path`` 0 is the root. Copies of a page count once. Counts are combined before each
+    shuffle, so a host with very many pages meets in no task.
     """
     rows = only(pages, url="string", html="string").select(host_of(F.col("url")).alias("host"), "html")
-    each = rows.mapInArrow(_trees, "host string, page binary, nodes array<struct<path:bigint,kind:int,value:bigint>>").dropDuplicates(["host", "page"])
-    counted = each.select("host", F.inline("nodes")).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
-    m, spread = F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("spread")
-    sums = counted.groupBy("host", "path", "kind").agg(m, spread)
-    entropy = F.when(F.col("pages") > 1, (F.log("pages") - F.col("spread") / F.col("pages")) / F.log("pages")).otherwise(1.0)
-    weight = F.when(F.col("kind") == 0, CONTENT).otherwise(1 - CONTENT)
-    return sums.groupBy("host", "path").agg(F.max("pages").alias("pages"), F.sum(weight * entropy).alias("importance"))
-
-
-def _texts(batches: Iterator[pa.RecordBatch], low: dict[str, set[int]] | None) -> Iterator[pa.RecordBatch]:
-    """Columns page_id, url, host, html, and cut if ``low`` is None."""
+    each = rows.mapInArrow(_trees, "host string, page binary, nodes array<struct<path:bigint,content:bigint,presentation:bigint,size:bigint>>").dropDuplicates(["host", "page"])
+    values = each.select("host", F.inline("nodes")).select("host", "path", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("content").alias("value"), "size"), F.struct(F.lit(1).alias("kind"), F.col("presentation").alias("value"), F.lit(0).cast("bigint").alias("size")))))
+    counted = values.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    sums = counted.groupBy("host", "path").agg(
+        F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
+        F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("texts"),
+        F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("looks"),
+        F.sum("size").alias("size"),
+    )
+    more = F.col("pages") + 1
+    content = (F.log(more) - F.col("texts") / more) / F.log(more)
+    presentation = F.least(F.lit(1.0), (F.log("pages") - F.col("looks") / F.col("pages")) / F.log(F.lit(KINDS)))
+    whole = sums.filter("path = 0").select("host", F.col("size").alias("whole"))
+    out = sums.join(whole, "host").select("host", "path", "pages", content.alias("content"), presentation.alias("presentation"), (F.col("size") / F.col("whole")).alias("mass"))
+    return out.withColumn("importance", CONTENT * F.col("content") + (1 - CONTENT) * F.col("presentation"))
+
+
+def _texts(batches: Iterator[pa.RecordBatch], known: dict[str, tuple[set[int], set[int]]] | None) -> Iterator[pa.RecordBatch]:
+    """Columns page_id, url, host, html, and low, high if ``known`` is None."""
+    nothing: tuple[set[int], set[int]] = (set(), set())
     for batch in batches:
         hosts, sources = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        cuts = [low.get(h, ()) for h in hosts] if low is not None else [x or () for x in batch.column(4).to_pylist()]
-        texts = [Page(s or "", {p & 0xFFFFFFFFFFFFFFFF for p in c}).text() for s, c in zip(sources, cuts, strict=True)]
+        of = [known.get(h, nothing) for h in hosts] if known is not None else [(set(x or ()), set(y or ())) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+        texts = [Page(s or "", *({p & 0xFFFFFFFFFFFFFFFF for p in x} for x in paths)).text() for s, paths in zip(sources, of, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES, least_importance: float = LEAST_IMPORTANCE, sent: int = SENT) -> DataFrame:
+def extract_pages(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE, most_importance: float = MOST_IMPORTANCE, sent: int = SENT) -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
     Null or empty html gives the empty text; pages without a url share the empty host;
     repeated rows give repeated rows; an empty table gives an empty table; other columns
-    are ignored. If cutting by importance leaves a page no text at all, nothing is cut.
+    are ignored. If cutting by importance leaves a main branch no text at all, nothing is cut.
+    Of several ``article`` elements outside a main branch all count.
     """
+    spark = pages.sparkSession
     rows = only(pages, page_id="bigint", url="string", html="string").select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
-    low = style_tree(pages).filter((F.col("pages") >= least_pages) & (F.col("importance") < least_importance)).select("host", "path")
-    low = materialise(low, "cut-branches")
+    low, high = F.col("importance") < least_importance, (F.col("importance") >= most_importance) & (F.col("mass") >= LEAST_MASS)
+    marked = materialise(style_tree(pages).filter((F.col("path") != 0) & (low | high)).select("host", "path", high.alias("high")), "style-tree")
     schema = "page_id bigint, url string, text string, n_chars bigint"
-    if low.count() <= sent:
-        found: dict[str, set[int]] = {}
-        for host, path in low.collect():  # at most ``sent`` rows
-            found.setdefault(host, set()).add(path)
-        return rows.mapInArrow(lambda b: _texts(b, found), schema)
-    cut = low.groupBy("host").agg(F.collect_set("path").alias("cut"))
-    return rows.join(cut, "host", "left").select("page_id", "url", "host", "html", "cut").mapInArrow(lambda b: _texts(b, None), schema)
+    if marked.count() <= sent:
+        found: dict[str, tuple[set[int], set[int]]] = {}
+        for r in marked.collect():  # at most ``sent`` rows
+            found.setdefault(r.host, (set(), set()))[r.high].add(r.path)
+        known = spark.sparkContext.broadcast(found)
+        return rows.mapInArrow(lambda b: _texts(b, known.value), schema)
+    of = marked.groupBy("host").agg(F.collect_set(F.when(~F.col("high"), F.col("path"))).alias("low"), F.collect_set(F.when(F.col("high"), F.col("path"))).alias("main"))
+    return rows.join(of, "host", "left").select("page_id", "url", "host", "html", "low", "main").mapInArrow(lambda b: _texts(b, None), schema)
