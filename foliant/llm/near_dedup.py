@@ -4,46 +4,52 @@
 shifted by k places, gives coordinate k. All coordinates of a shingle are therefore
 neighbours in one table, and a signature is the minimum over such rows.
 
-*Links.* Texts of one shingle set form a class, and only the class's first document
-goes on. Documents that share a band fall in a bucket. Each bucket's smallest document
-is tested against the others, small buckets are tested in full, and what is similar is
-joined. Larger buckets that still hold several components go on with long signatures:
-each document outside a bucket's largest component is tested against the most similar
-of other components, and in the last round against all that can be similar. So a bucket
-of n copies of one page costs some n tests, and yet no link that joins two components is
-left out. Buckets of more than ``BLOCK`` documents are compared block by block. All
-tests are exact, over the shingles of both whole texts.
+*Links.* Texts of one word sequence form a class (a SHA-256 of the whole sequence), and
+only the class's first document goes on. Documents that share a band fall in a bucket. Each
+bucket's smallest document is tested against the others, small buckets are tested in full,
+and what is similar is joined. Documents of larger buckets that still hold several
+components go on with long signatures and finer bands of these: in each finer bucket, documents outside
+its largest component are tested against the most similar of other components, and in
+the last round against all that can be similar. So a group of n copies of one page costs
+some n tests, and yet no link that joins two components is left out. All tests are exact,
+over the shingles of both whole texts.
+
+*Hot buckets.* Joins by bucket are dealt out by a further hash of the document. The members
+of a finer bucket lie in blocks, each in one task; only documents outside the largest
+component, not all, are copied to every block.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_HASHES, lower_words, materialise, only
+from .common import WORD_HASHES, discard, lower_words, materialise, only
 from .components import components
 
 #: Places on the circle, coordinates, bands. At 0.8 a pair shares no band of four
 #: coordinates with a probability of (1 - 0.8**4)**24, or 5 in a million.
 CIRCLE, COORDINATES, BANDS = 1 << 20, 96, 24
-#: Coordinates of a long signature; the first ones are those of the short one.
-LONG = 1536
+#: Coordinates of a long signature; the first ones are those of the short one. Its finer
+#: bands: at 0.8 a pair shares none with a probability of (1 - 0.8**11)**139, or 4 in a million.
+LONG, FINE, FINE_BANDS = 1536, 11, 139
 #: Pairs that agree in fewer coordinates than these shares of a short and a long signature
 #: go untested: 4.4 standard deviations below a similarity of 0.8.
 LEAST_SHORT, LEAST_LONG = 0.62, 0.755
-#: Most similar signatures that a document is tested against in a round, bucket by bucket;
-#: 0 is all of them.
+#: Most similar signatures of a block that a document is tested against in a round; 0 is all of them.
 ROUNDS = (16, 0)
 #: Up to so many ids are sent to every task; more are joined.
 SENT_IDS = 1_000_000
-#: Buckets up to SMALL documents are paired by a join, larger ones in blocks.
-SMALL, BLOCK = 16, 2048
+#: Buckets up to SMALL documents are paired by a join; members of a finer bucket's block.
+SMALL, BLOCK = 16, 4096
+#: Parts that a bucket's documents are dealt to in joins.
+PARTS = 16
 SEED = 20240607
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -99,23 +105,33 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, sets, sigs = [], [], []
+        counts, texts, sigs = [], [], []
         for text in batch.column(1).to_pylist():
-            hashes = shingle_hashes(lower_words(text), size)
+            words = lower_words(text)
+            hashes = shingle_hashes(words, size)
             counts.append(len(hashes))
-            sets.append(xxhash.xxh3_128_digest(hashes))
+            texts.append(hashlib.sha256(b" ".join(words)).digest())
             sigs.append(signature(hashes) if len(hashes) else np.zeros(COORDINATES, np.uint32))
         sigs = np.array(sigs, np.uint32).reshape(-1, COORDINATES)
         keys = band_keys(sigs)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
         low = [bytes(x) for x in sigs.astype(np.uint8)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sets, pa.binary()), pa.array(low, pa.binary()), lists], ["doc_id", "n_shingles", "set_id", "sig", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(texts, pa.binary()), pa.array(low, pa.binary()), lists], ["doc_id", "n_shingles", "words", "sig", "bands"])
 
 
 def signatures(docs: DataFrame, size: int = 2) -> DataFrame:
-    """doc_id, n_shingles, set_id (128 bits of the shingle set), sig (low bytes), bands (keys)."""
+    """doc_id, n_shingles, words (SHA-256 of the word sequence), sig (low bytes), bands (keys)."""
     rows = only(docs, doc_id="bigint", text="string")
-    return rows.mapInArrow(lambda b: _signed(b, size), "doc_id bigint, n_shingles bigint, set_id binary, sig binary, bands array<bigint>")
+    return rows.mapInArrow(lambda b: _signed(b, size), "doc_id bigint, n_shingles bigint, words binary, sig binary, bands array<bigint>")
+
+
+def fine_keys(sigs: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each finer band of each long signature (low bytes)."""
+    parts = sigs[:, : FINE * FINE_BANDS].astype(np.uint64).reshape(len(sigs), FINE_BANDS, FINE)
+    out = np.broadcast_to(np.arange(1, FINE_BANDS + 1, dtype=np.uint64) * _Q, parts.shape[:2])
+    for k in range(FINE):
+        out = _mixed(out + (parts[:, :, k] + np.uint64(1)) * _P)
+    return out.view(np.int64)
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +146,9 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _long(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_hashes(lower_words(t), size) for t in batch.column(1).to_pylist()]
-        sigs = [signature(h, LONG).astype(np.uint8).tobytes() if len(h) else bytes(LONG) for h in sets]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(sigs, pa.binary())], ["node", "n_shingles", "sig"])
+        sigs = np.array([signature(h, LONG) if len(h) else np.zeros(LONG) for h in sets]).astype(np.uint8).reshape(-1, LONG)
+        keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * FINE_BANDS), pa.array(fine_keys(sigs).ravel()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([x.tobytes() for x in sigs], pa.binary()), keys], ["node", "n_shingles", "sig", "keys"])
 
 
 def shingle_set(text: str | None, size: int) -> frozenset:
@@ -159,49 +176,64 @@ def _verified(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Ite
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], percent: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, i, j: the pairs of a block that are in different components.
+    """Pairs of a bucket's outliers with members of a block, if both are in different components.
 
-    Columns key, i, j, block, node, component, n_shingles, sig, bands. Pairs of two blocks
-    are taken across only, and each pair only in the bucket of its first common band.
+    Columns key, block, outlier, node, component, main, n_shingles, sig, sorted by the first
+    three: the members of a block come first, then the outliers of its bucket. Two outliers
+    meet in the block of the larger one, and each pair only in the bucket of its first common band.
     """
+    block, members, kept = None, [], None
 
-    def pairs(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        key, i, j, block, node, part, n, sig, bands = zip(*rows, strict=True)
-        block, node, part, n = (np.array(x) for x in (block, node, part, n))
+    def arrays(rows: list[tuple]) -> tuple:
+        node, part, main, n, sig = zip(*(r[3:] for r in rows), strict=True)
         sig = np.frombuffer(b"".join(sig), np.uint8).reshape(-1, LONG)
-        short = np.ascontiguousarray(sig[:, :COORDINATES])
-        bands = np.array(bands, np.int64)
-        values, counts = np.unique(part, return_counts=True)
-        main = values[counts.argmax()]
-        for at in np.flatnonzero(part != main):  # pairs inside the largest component need no test
-            other = (part != part[at]) & ((part == main) | (node > node[at]))
-            if i[0] != j[0]:
-                other &= block != block[at]
-            other &= (np.minimum(n, n[at]) * 100 >= percent * np.maximum(n, n[at]))
-            other = np.flatnonzero(other)
-            other = other[(short[other] == short[at]).mean(axis=1) >= LEAST_SHORT]
-            first = (bands[other] == bands[at]).argmax(axis=1)
-            other = other[bands[at][first] == key[0]]
-            agreement = (sig[other] == sig[at]).mean(axis=1)
-            other, agreement = other[agreement >= LEAST_LONG], agreement[agreement >= LEAST_LONG]
-            if most:
-                other = other[np.argsort(-agreement, kind="stable")[:most]]
-            if len(other):
-                yield np.minimum(node[other], node[at]), np.maximum(node[other], node[at])
-
-    def emit(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for a, b in pairs(rows):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    rows: list[tuple] = []
+        return np.array(node), np.array(part), np.array(main), np.array(n), sig, np.ascontiguousarray(sig[:, :COORDINATES]), fine_keys(sig)
+
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if rows and row[:3] != rows[0][:3]:
-                yield from emit(rows)
-                rows = []
-            rows.append(row)
-    if rows:
-        yield from emit(rows)
+        rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        outliers = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def compare(outliers=outliers, found=found) -> None:
+            if not outliers:
+                return
+            node, part, main, n, sig, short, keys = kept
+            for x, x_part, _, x_n, x_sig, x_short, x_keys in zip(*arrays(outliers), strict=True):
+                other = np.flatnonzero((part != x_part) & ((part == main) | (node > x)) & (np.minimum(n, x_n) * 100 >= percent * np.maximum(n, x_n)))
+                other = other[(short[other] == x_short).mean(axis=1) >= LEAST_SHORT]
+                first = (keys[other] == x_keys).argmax(axis=1)
+                other = other[x_keys[first] == block[0]]
+                agreement = (sig[other] == x_sig).mean(axis=1)
+                other, agreement = other[agreement >= LEAST_LONG], agreement[agreement >= LEAST_LONG]
+                if most:
+                    other = other[np.argsort(-agreement, kind="stable")[:most]]
+                if len(other):
+                    found.append((np.minimum(node[other], x), np.maximum(node[other], x)))
+            outliers.clear()
+
+        for row in rows:
+            if row[:2] != block:
+                compare()
+                block, members, kept = row[:2], [], None
+            if row[2]:
+                if kept is None:
+                    kept = arrays(members) if members else None
+                if kept is not None:
+                    outliers.append(row)
+            else:
+                members.append(row)
+        compare()
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
+
+
+def _dealt(bucket: DataFrame) -> DataFrame:
+    """Rows of buckets once for each part of their documents."""
+    return bucket.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+
+
+def _part(node: str) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(PARTS)).cast("int").alias("part")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -221,18 +253,26 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     empty and blank texts have no shingles and link with nothing. Rows that repeat a
     doc_id share its component. Rows with a null doc_id join a class but never stand
     for it, and aren't kept. An empty table gives an empty table. Other columns are
-    ignored. ``percent`` below 80 would need other bands.
+    ignored. ``percent`` below 80 would need other bands. ``n_shingles`` counts different
+    64-bit hashes of shingles; links are tested on the shingles themselves.
     """
     if not 80 <= percent <= 100:
         raise ValueError("the bands are made for a similarity of 80 percent or more")
-    signed = materialise(signatures(docs, size), "signatures")
-    classes = signed.filter("n_shingles > 0").groupBy("n_shingles", "set_id").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    classes = materialise(classes.filter("node is not null"), "classes")
+    passing: list[DataFrame] = []
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        """A table that the result doesn't read."""
+        passing.append(materialise(df, label))
+        return passing[-1]
+
+    signed = materialise(signatures(docs, size).withColumn("row", F.monotonically_increasing_id()), "signatures")  # written, so the numbers stay
+    groups = signed.filter("n_shingles > 0").groupBy("words").agg(F.min("doc_id").alias("node"), F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"))
+    classes = materialise(groups.filter("node is not null").join(signed.select("row", "sig", "bands"), "row").select("node", "words", "n_shingles", "sig", "bands"), "classes")
     nodes = classes.select("node", "n_shingles", "sig")
 
     postings = classes.select("node", F.explode("bands").alias("key"))
     buckets = postings.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).filter("members > 1")
-    live = materialise(postings.join(buckets, "key"), "postings")
+    live = written(postings.withColumn("part", _part("node")).join(_dealt(buckets), ["key", "part"]).drop("part"), "postings")
 
     # pairs of the first round: stars of all buckets, all pairs of small ones
     few = live.filter(F.col("members") <= SMALL)
@@ -240,36 +280,42 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     left = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"))
     sized = pairs.join(left, "a").join(right, "b").filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    tested = materialise(sized.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a bigint, b bigint"), "tested")
+    tested = written(sized.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a bigint, b bigint"), "tested")
 
     # only documents of these pairs and of large buckets can have links: their texts are set apart
     large = live.filter(F.col("members") > SMALL)
-    wanted = materialise(tested.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(large.select(F.col("node").alias("doc_id"))).distinct(), "candidates")
+    wanted = written(tested.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(large.select(F.col("node").alias("doc_id"))).distinct(), "candidates")
     wanted = F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
-    texts = materialise(only(docs, doc_id="bigint", text="string").join(wanted, "doc_id", "left_semi"), "texts")
-    parts = components(materialise(_similar(tested, texts, size, percent), "links"))
-
-    long = None
+    texts = written(only(docs, doc_id="bigint", text="string").join(wanted, "doc_id", "left_semi"), "texts")
+    parts = components(written(_similar(tested, texts, size, percent), "links"))
+
+    # large buckets that are still open: the finer bands of their documents
+    placed = large.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    rest = placed.withColumn("part", _part("node")).join(_dealt(open_keys), ["key", "part"], "left_semi").select(F.col("node").alias("doc_id")).distinct()
+    members = texts.join(rest, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    long = written(members.mapInArrow(lambda b: _long(b, size), "node bigint, n_shingles bigint, sig binary, keys array<bigint>"), "long-signatures")
     for most in ROUNDS:
-        placed = large.join(parts, "node", "left").select("key", "members", "node", F.coalesce("component", "node").alias("component"))
-        open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-        rest = materialise(placed.join(open_keys, "key", "left_semi"), "open-buckets")
+        placed = written(long.select("node", "keys").join(parts, "node", "left").select(F.explode("keys").alias("key"), "node", F.coalesce("component", "node").alias("component")), "placed")
+        sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+        open_keys = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("members"), F.count("*").alias("components")).filter("components > 1")
+        open_keys = open_keys.select("key", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        rest = placed.withColumn("part", _part("node")).join(_dealt(open_keys), ["key", "part"]).select("key", "node", "component", "main", "blocks")
+        rest = written(rest, "open-buckets")
         if rest.isEmpty():
             break
-        if long is None:
-            members = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            long = materialise(members.mapInArrow(lambda b: _long(b, size), "node bigint, n_shingles bigint, sig binary"), "long-signatures")
-        rows = rest.join(long, "node").join(classes.select("node", "bands"), "node")
-        rows = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.select("key", F.least("block", "mate").alias("i"), F.greatest("block", "mate").alias("j"), "block", "node", "component", "n_shingles", "sig", "bands")
-        found = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda b, most=most: _blocks(b, percent, most), "a bigint, b bigint")
-        todo = materialise(found.distinct().join(tested, ["a", "b"], "left_anti"), "tested")
-        more = materialise(_similar(todo, texts, size, percent), "links")
+        own = rest.select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("outlier"))
+        away = rest.filter("component <> main").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("outlier"))
+        rows = own.unionByName(away).join(long.select("node", "n_shingles", "sig"), "node").select("key", "block", "outlier", "node", "component", "main", "n_shingles", "sig")
+        found = rows.repartition("key", "block").sortWithinPartitions("key", "block", "outlier").mapInArrow(lambda b, most=most: _blocks(b, percent, most), "a bigint, b bigint")
+        todo = written(found.distinct().join(tested, ["a", "b"], "left_anti"), "tested")
+        more = written(_similar(todo, texts, size, percent), "links")
         tested = tested.unionByName(todo)
         parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    ids = classes.select("n_shingles", "set_id", "node").join(parts, "node", "left").select(F.col("n_shingles").alias("n"), F.col("set_id").alias("s"), F.coalesce("component", "node").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "set_id").join(ids, (F.col("n") == F.col("n_shingles")) & (F.col("s") == F.col("set_id")), "left")
+    for t in passing:
+        discard(t)
+    ids = classes.select("words", "node").join(parts, "node", "left").select(F.col("words").alias("sequence"), F.coalesce("component", "node").alias("component"))
+    out = signed.select("doc_id", "n_shingles", "words").join(ids, F.col("words") == F.col("sequence"), "left")
     found = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", found.alias("component_id"), F.coalesce(F.col("doc_id") == found, F.lit(False)).alias("kept"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from foliant.llm import near_dedup as N
@@ -42,7 +43,7 @@ def corpus(seed, families, copies):
 def test_against_brute_force(spark, monkeypatch, size, families, copies):
     docs = corpus(size + families, families, copies)
     if copies > 100:  # several blocks of one bucket
-        monkeypatch.setattr(N, "BLOCK", 20)
+        monkeypatch.setattr(N, "BLOCK", 40)
         docs = corpus(9, 1, 1) + [(1000 + i, t) for i, t in corpus(3, 1, 200)]
         docs += [(3000 + i, t) for i, t in corpus(3, 1, 250)]
     df = spark.createDataFrame([*docs, docs[3]], "doc_id long, text string").selectExpr("*", "1 as node", "'k' as key", "2 as component_id")
@@ -77,3 +78,44 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(2, 41)}, **{i: 100 for i in range(101, 160)}, 201: 200}
+
+
+def test_family_with_outliers(spark, monkeypatch):
+    """A bucket of one large component and many documents that are similar to it, some just enough, some not."""
+    monkeypatch.setattr(N, "BLOCK", 50)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for k in range(260):
+        w = list(base)
+        for _ in range(2 if k < 150 else rng.randint(4, 12)):
+            w[rng.randrange(len(w))] = f"x{rng.random()}"
+        docs.append((k, " ".join(w)))
+    rng.shuffle(docs)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(sorted(docs), 2)
+
+
+def test_equal_sets_of_different_sequences(spark):
+    docs = [(3, "a b a b a"), (2, "a b a b a b a"), (9, "A B a b a"), (5, "b a b a"), (7, "a b c")]
+    got = {r.doc_id: r.component_id for r in N.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {3: 2, 2: 2, 9: 2, 5: 2, 7: 7}
+
+
+def test_fine_keys():
+    sigs = np.random.default_rng(1).integers(0, 256, (3, N.LONG)).astype(np.uint8)
+    sigs[1, : N.FINE * 5] = sigs[0, : N.FINE * 5]
+    keys = N.fine_keys(sigs)
+    assert keys.shape == (3, N.FINE_BANDS)
+    assert (keys[0] == keys[1]).tolist() == [k < 5 for k in range(N.FINE_BANDS)]
+    assert len(np.unique(keys)) == keys.size - 5
+
+
+def test_very_long_word_and_blank_rows(spark):
+    docs = [(1, "x" * 300_000), (2, "x" * 300_000), (3, " \n "), (4, None), (5, "\u00a0")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (1, 5)}
+
+
+def test_components_of_null_links(spark):
+    assert components(spark.createDataFrame([(None, 1), (1, None), (None, None)], "a long, b long")).count() == 0
