@@ -47,7 +47,7 @@ ROUNDS = (16, 0)
 #: Up to so many ids are sent to every task; more are joined.
 SENT_IDS = 1_000_000
 #: Buckets up to SMALL documents are paired by a join; members of a finer bucket's block.
-SMALL, BLOCK = 16, 4096
+SMALL, BLOCK = 16, 2048
 #: Parts that a bucket's documents are dealt to in joins.
 PARTS = 16
 SEED = 20240607
@@ -127,11 +127,14 @@ def signatures(docs: DataFrame, size: int = 2) -> DataFrame:
 
 def fine_keys(sigs: np.ndarray) -> np.ndarray:
     """A 64-bit key for each finer band of each long signature (low bytes)."""
-    parts = sigs[:, : FINE * FINE_BANDS].astype(np.uint64).reshape(len(sigs), FINE_BANDS, FINE)
-    out = np.broadcast_to(np.arange(1, FINE_BANDS + 1, dtype=np.uint64) * _Q, parts.shape[:2])
-    for k in range(FINE):
-        out = _mixed(out + (parts[:, :, k] + np.uint64(1)) * _P)
-    return out.view(np.int64)
+    keys = np.empty((len(sigs), FINE_BANDS), np.int64)
+    for i in range(0, len(sigs), 256):
+        parts = sigs[i : i + 256, : FINE * FINE_BANDS].reshape(-1, FINE_BANDS, FINE)
+        out = np.broadcast_to(np.arange(1, FINE_BANDS + 1, dtype=np.uint64) * _Q, parts.shape[:2])
+        for k in range(FINE):
+            out = _mixed(out + (parts[:, :, k].astype(np.uint64) + np.uint64(1)) * _P)
+        keys[i : i + 256] = out.view(np.int64)
+    return keys
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,10 +148,16 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _long(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_hashes(lower_words(t), size) for t in batch.column(1).to_pylist()]
-        sigs = np.array([signature(h, LONG) if len(h) else np.zeros(LONG) for h in sets]).astype(np.uint8).reshape(-1, LONG)
-        keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * FINE_BANDS), pa.array(fine_keys(sigs).ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([x.tobytes() for x in sigs], pa.binary()), keys], ["node", "n_shingles", "sig", "keys"])
+        for i in range(0, batch.num_rows, 1024):
+            part = batch.slice(i, 1024)
+            sigs, counts = np.zeros((part.num_rows, LONG), np.uint8), []
+            for k, text in enumerate(part.column(1).to_pylist()):
+                hashes = shingle_hashes(lower_words(text), size)
+                counts.append(len(hashes))
+                if len(hashes):
+                    sigs[k] = signature(hashes, LONG).astype(np.uint8)
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * FINE_BANDS), pa.array(fine_keys(sigs).ravel()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in sigs], pa.binary()), keys], ["node", "n_shingles", "sig", "keys"])
 
 
 def shingle_set(text: str | None, size: int) -> frozenset:
@@ -189,7 +198,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], percent: int, most: int) -> Itera
         sig = np.frombuffer(b"".join(sig), np.uint8).reshape(-1, LONG)
         return np.array(node), np.array(part), np.array(main), np.array(n), sig, np.ascontiguousarray(sig[:, :COORDINATES]), fine_keys(sig)
 
-    for batch in batches:
+    for batch in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
         rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
         outliers = []
         found: list[tuple[np.ndarray, np.ndarray]] = []
