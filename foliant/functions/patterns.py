@@ -58,11 +58,16 @@ AFTER_SECTION = r"^[A-Za-zÀ-ɏ][A-Za-zÀ-ɏ0-9 /(),'-]{2,}"
 UNIT_AFTER_SECTION = r"(?iU)^(?:u\d+|r\b|w\b|litre|liter|m3|mc|bar|bytes?|string|specific)\b"
 REFERRED = r"(?U)\b(?:see|refer to|referring to|paragraph|clause|section)\s+"
 
-# Python patterns of the table reader (embedded section numbers).
-PY_NON_HEADING = r"^(?:or|and|superior|inferior|greater|less|test|value|values?|u\d+|r|w|litre|liter|m3|mc|bar|bytes?|string|specific)\b"
-PY_VALUE_BEFORE = r"\b(?:bluetooth|temperature|pressure|profile|declared|minimum|maximum|object|code|version)\s+$"
-PY_OTHER_TABLE = r"\b(?:point|diagnostics?|activation|anomal(?:y|ies)|rif|reference|clause|status|code|value|field|object|obis|type|length|bytes?|bit|flag|error|alarm)\b"
-PY_DEFINITION_TABLE = r"\b(?:term|terms|definition|definitions|abbreviation|abbreviations)\b"
-PY_STATE_WORD = r"^(?:no|not|when|if|after|before|immediate|delayed|open|closed|active|inactive)\b"
-PY_TEXT_SECTION = r"(?<![\w.])(\d+(?:\.\d+)+)\s+([A-Za-zÀ-ɏ][A-Za-zÀ-ɏ0-9 /(),'-]{2,})"
+TABLE = r"(?is)<table\b.*?</table>"
+TABLE_ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
+TABLE_CELL = r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"
+TABLE_TAG = r"<[^>]+>"
+NUMBER_CELL = r"(?iU)<td[^>]*>\s*(\d+(?:\.\d+)+)\s*</td>"
+DOTTED_NUMBER = r"(?U)^\d+(?:\.\d+)+\z"
+TEXT_SECTION = r"(?U)(?<![\w.])(\d+(?:\.\d+)+)\s+([A-Za-zÀ-ɏ][A-Za-zÀ-ɏ0-9 /(),'-]{2,})"
+NON_HEADING = r"(?iU)^(?:or|and|superior|inferior|greater|less|test|value|values?|u\d+|r|w|litre|liter|m3|mc|bar|bytes?|string|specific)\b"
+VALUE_BEFORE = r"(?iU)\b(?:bluetooth|temperature|pressure|profile|declared|minimum|maximum|object|code|version)\s+$"
+OTHER_TABLE = r"(?iU)\b(?:point|diagnostics?|activation|anomal(?:y|ies)|rif|reference|clause|status|code|value|field|object|obis|type|length|bytes?|bit|flag|error|alarm)\b"
+DEFINITION_TABLE = r"(?iU)\b(?:term|terms|definition|definitions|abbreviation|abbreviations)\b"
+STATE_WORD = r"(?iU)^(?:no|not|when|if|after|before|immediate|delayed|open|closed|active|inactive)\b"
 # --- End of fixed values -----------------------------------------------------------------

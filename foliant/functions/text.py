@@ -49,22 +49,35 @@ def normalize_audit(text: Column) -> Column:
 
 
 def _decode(texts: pd.Series, nfkc: bool) -> pd.Series:
-    out = texts.fillna("").map(html.unescape)
-    return out.map(lambda t: unicodedata.normalize("NFKC", t)) if nfkc else out
+    out = texts.map(html.unescape, na_action="ignore")
+    return out.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore") if nfkc else out
 
 
 @F.pandas_udf(StringType())
-def decoded(text: pd.Series) -> pd.Series:
-    """Character references resolved."""
+def _decoded(text: pd.Series) -> pd.Series:
     return _decode(text, False)
 
 
 @F.pandas_udf(StringType())
-def decoded_nfkc(text: pd.Series) -> pd.Series:
-    """Character references resolved, compatibility forms composed."""
+def _decoded_nfkc(text: pd.Series) -> pd.Series:
     return _decode(text, True)
 
 
+def _where(needed: Column, text: Column, udf) -> Column:
+    """``udf`` of texts that need it; all others stay in the JVM, Python gets nulls for them."""
+    return F.when(needed, udf(F.when(needed, text))).otherwise(F.coalesce(text, F.lit("")))
+
+
+def decoded(text: Column) -> Column:
+    """Character references resolved."""
+    return _where(F.contains(text, F.lit("&")), text, _decoded)
+
+
+def decoded_nfkc(text: Column) -> Column:
+    """Character references resolved, compatibility forms composed. ASCII and the letters À to ÿ are composed forms as they stand."""
+    return _where(F.contains(text, F.lit("&")) | F.rlike(text, F.lit(r"[^\x00-\x7FÀ-ÿ]")), text, _decoded_nfkc)
+
+
 def normalize_for_audit(text: Column, decode: bool = True, lowercase: bool = True) -> Column:
     """The form of source units: decoded, words joined over line ends, bullets as hyphens, squeezed, lower case."""
     t = decoded_nfkc(text) if decode else F.coalesce(text, F.lit(""))

@@ -39,11 +39,57 @@ def test_greedy_rows_take_units_once(spark):
     assert [r.source_refs for r in out] == [["d:u0", "d:u2"]]
 
 
-def test_table_numbers():
-    table = "<table><tr><th>Term</th><th>Definition</th></tr><tr><td>3.1</td><td>gateway</td></tr><tr><td>3.2</td><td>meter</td></tr></table>"
-    assert [n for n, _ in D.embedded_numbers(table)] == ["3.1", "3.2"]
-    assert D.embedded_numbers(table.replace("Term", "Status").replace("Definition", "Code")) == []
-    assert [n for n, _ in D.embedded_numbers("x 4.1 Scope of it; version 2.0 alpha; 5.5 bar max")] == ["4.1"]
+def test_table_numbers(spark):
+    table = "<table><tr><th>Term</th><th>Definition</th></tr><tr><td>3.1</td><td>gateway</td></tr><tr><td> 3.2 </td><td>meter</td></tr></table>"
+    cell = lambda n, k: (n, f"#embedded-section-{k}:{n}")
+    plain = lambda n, s, k: (n, f"#embedded-section-text-{s}-{k}:{n}")
+    cases = {
+        table: [cell("3.1", 0), cell("3.2", 1)],
+        table.replace("Term", "Status").replace("Definition", "Code"): [],
+        "x 4.1 Scope of it; version 2.0 alpha; 5.5 bar max": [plain("4.1", 0, 0)],
+        # one row of two that count, a cell that is a sentence, a state and a number
+        table.replace("meter", "It runs."): [],
+        table.replace("<td>meter", "<td>closed"): [],
+        table.replace("<td>meter", "<td>12"): [],
+        table.replace("</table>", "<tr><td>a</td><td>b</td></tr></table>"): [cell("3.1", 0), cell("3.2", 1)],  # half of four rows
+        table.replace("</table>", "<tr><td>a</td><td>b</td></tr>" * 2 + "</table>"): [],
+        # words of other tables anywhere
+        table.replace("Term", "Name").replace("Definition", "Text").replace("gateway", "alarm"): [],
+        # numbers beside the table: known ones and repeated ones aren't given again
+        f"2.1 Before it {table} 3.2 meter again, 03.1 gateway; 4.7 After it. See 4.7 after": [cell("3.1", 0), cell("3.2", 1), plain("2.1", 0, 0), plain("4.7", 1, 1)],
+        "<TABLE><tr><td>9.9</td></tr></TABLE>1.1 one two": [plain("1.1", 1, 0)],
+        # a value is one by the word before it, also where the last match took that word
+        "1.2 declared 3.4 Thing": [plain("1.2", 0, 0)],
+        "1.2 maximum. 3.4 Thing; pressure\n\t5.6 Thing": [plain("1.2", 0, 0), plain("3.4", 0, 1)],
+        "1.2 And so; 1.3 orbit; 1.4 or bit; 1.5 ab": [plain("1.3", 0, 1)],
+        "": [],
+        None: [],
+        "v1.2 Abc 1.3.Abc .1.4 Abc": [],
+    }
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(cases)], "k int, t string").select("k", D.embedded_numbers(F.col("t")).alias("found")).collect()
+    got = {r.k: [tuple(e) for e in r.found] for r in rows}
+    assert [got[k] for k in range(len(cases))] == list(cases.values())
+
+
+def test_table_numbers_against_a_scan(spark):
+    """The last 32 characters before a match, found by its place."""
+    import random
+    import re
+
+    rng = random.Random(5)
+    parts = ["1.2 ", "2.10 ", "3.4.5 ", "Abc", "declared ", "version\n", "bar", ", ", "; ", "and so on ", "x", " Zeta (b)", "value 7 "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    section, mention, value = (re.compile(p.replace("(?iU)", "(?i)").replace("(?U)", "")) for p in (D.P.TEXT_SECTION, D.P.NON_HEADING, D.P.VALUE_BEFORE))
+    want = []
+    for t in texts:
+        out = []
+        for k, m in enumerate(section.finditer(t)):
+            if not mention.match(m[2].strip()) and not value.search(t[: m.start()][-32:]) and m[1] not in [n for n, _ in out]:
+                out.append((m[1], f"#embedded-section-text-0-{k}:{m[1]}"))
+        want.append(out)
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", D.embedded_numbers(F.col("t")).alias("found")).collect()
+    assert [[tuple(e) for e in r.found] for r in sorted(rows)] == want
+    assert sum(map(len, want)) > 100
 
 
 def test_full_recovery_is_for_review(spark):
