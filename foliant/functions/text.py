@@ -132,6 +132,11 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
+def word_runs(text: Column) -> Column:
+    """Longest runs of word signs and points: what the ends of a whole token are marked off by."""
+    return _all(text, r"(?U)[\w.]+")
+
+
 def anchor_present(anchor: Column, text: Column) -> Column:
     """Does the anchor stand in the text as a whole token?"""
     a = normalize_anchor(anchor)

@@ -85,8 +85,48 @@ def page_coverage(units: DataFrame, output: DataFrame, threshold: float = THRESH
     """
     source = units.filter("granularity = 'block'").select("doc_id", F.coalesce("page", F.lit(0)).alias("page"), U.content().alias("text"))
     there = live_blocks(output).filter("page is not null").select("doc_id", "page", U.content().alias("text"))
-    band = F.when(F.col("ratio") < hard_floor(threshold), "loss").when(F.col("ratio") < threshold, "review").otherwise("pass")
-    return coverage(source, there, ("doc_id", "page"), decode).withColumn("band", band)
+    return coverage(source, there, ("doc_id", "page"), decode).withColumn("band", _band(F.col("ratio"), threshold))
+
+
+def page_findings(units: DataFrame, output: DataFrame, threshold: float = THRESHOLD, decode: bool = True) -> DataFrame:
+    """G1 and G2 in one sum: doc_id, page, missing, tokens, covered, ratio, band of every source page.
+
+    A block counts its tokens and, as an empty one, whether it is blank: so one table of
+    counts holds both audits, and texts are cut once for each side. Pages without source
+    tokens have no ratio and no band.
+    """
+
+    def counted(df: DataFrame, side: str) -> DataFrame:
+        full = (T.stripped(U.content()) != "").cast("bigint")
+        marks = F.explode(F.concat(F.array(F.struct(F.lit("").alias("token"), full.alias("k"))), F.transform(T.canonical_tokens(U.content(), decode), lambda t: F.struct(t.alias("token"), F.lit(1).cast("bigint").alias("k")))))
+        here = F.lit(side == "n")
+        return df.select("doc_id", "page", marks.alias("mark"), here.alias("source")).select("doc_id", "page", "mark.token", F.when(here, F.col("mark.k")).otherwise(0).alias("n"), F.when(here, 0).otherwise(F.col("mark.k")).alias("m"), "source")
+
+    source = units.filter("granularity = 'block'").withColumn("page", F.coalesce("page", F.lit(0)))
+    there = live_blocks(output).filter("page is not null")
+    counts = counted(source, "n").unionByName(counted(there, "m")).groupBy("doc_id", "page", "token").agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.max("source").alias("source"))
+    token = F.col("token") != ""
+    pages = counts.groupBy("doc_id", "page").agg(
+        F.max("source").alias("source"),
+        (F.sum(F.when(~token, F.col("n"))) > 0).alias("full"),
+        (F.sum(F.when(~token, F.col("m"))) > 0).alias("there"),
+        F.sum(F.when(token, F.col("n")).otherwise(0)).alias("tokens"),
+        F.sum(F.when(token, F.least("n", "m")).otherwise(0)).alias("covered"),
+    )
+    ratio = F.when(F.col("tokens") > 0, F.col("covered") / F.col("tokens"))
+    return pages.filter("source").select("doc_id", "page", (F.col("full") & ~F.col("there")).alias("missing"), "tokens", "covered", ratio.alias("ratio"), _band(ratio, threshold).alias("band"))
+
+
+def page_status(findings: DataFrame) -> DataFrame:
+    """doc_id, n_loss, n_review, status by the pages of ``page_findings``."""
+    count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("bigint"))
+    band = F.col("band")
+    sums = findings.groupBy("doc_id").agg((count(F.col("missing")) + count(band == "loss")).alias("n_loss"), count(band == "review").alias("n_review"))
+    return sums.withColumn("status", status_of(F.col("n_loss"), F.col("n_review")))
+
+
+def _band(ratio: Column, threshold: float) -> Column:
+    return F.when(ratio < hard_floor(threshold), "loss").when(ratio < threshold, "review").when(ratio.isNotNull(), "pass")
 
 
 def document_anchors(rows: DataFrame, pattern: str) -> DataFrame:
@@ -103,12 +143,20 @@ def source_text(units: DataFrame, pages: bool = True) -> DataFrame:
 def missing_anchors(source: DataFrame, output: DataFrame, pattern: str = P.REQUIRED_ANCHOR) -> DataFrame:
     """doc_id, anchor of ``source`` (doc_id, anchor) that no text of ``output`` (doc_id, text) shows as a whole token.
 
-    Anchors that the output has as such fall away in an anti join; only the few that are
-    left are looked for in the texts.
+    Anchors that the output has as such fall away in an anti join. A whole token begins a
+    run of word signs and points, so what is left is joined to the texts by its first run;
+    only texts that have this run are searched, and none where the run is the whole anchor.
     """
     left = source.join(document_anchors(output, pattern), ["doc_id", "anchor"], "left_anti")
-    shown = left.join(output, "doc_id").filter(T.anchor_present(F.col("anchor"), F.col("text"))).select("doc_id", "anchor").distinct()
-    return left.join(shown, ["doc_id", "anchor"], "left_anti")
+    anchor = T.normalize_anchor(F.col("anchor"))
+    runs = T.word_runs(anchor)
+    left = left.select("doc_id", "anchor", F.get(runs, F.lit(0)).alias("run"), (F.get(runs, F.lit(0)) == anchor).alias("single"))
+    texts = output.join(left.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text", F.xxhash64("text").alias("block"))
+    there = texts.select("doc_id", "block", F.explode(F.array_distinct(T.word_runs(T.normalize_anchor(F.col("text"))))).alias("run")).distinct()
+    found = left.join(there, ["doc_id", "run"])
+    sure = found.filter("single").select("doc_id", "anchor")
+    searched = found.filter("not single").join(texts, ["doc_id", "block"]).filter(T.anchor_present(F.col("anchor"), F.col("text"))).select("doc_id", "anchor")
+    return left.select("doc_id", "anchor").join(sure.unionByName(searched).distinct(), ["doc_id", "anchor"], "left_anti")
 
 
 def anchor_loss(units: DataFrame, output: DataFrame, pages: bool = True) -> DataFrame:

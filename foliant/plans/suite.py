@@ -41,12 +41,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def frag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.units_by_words(documents(spark, sf_dir).select("doc_id", "text"))
+def frag(spark: SparkSession, sf_dir: str, grouped: bool = True) -> DataFrame:
+    return S.units_by_words(documents(spark, sf_dir).select("doc_id", "text"), grouped=grouped)
 
 
-def line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.units_by_line(documents(spark, sf_dir).select("doc_id", "text"))
+def line(spark: SparkSession, sf_dir: str, grouped: bool = True) -> DataFrame:
+    return S.units_by_line(documents(spark, sf_dir).select("doc_id", "text"), grouped)
 
 
 def lossy(units: DataFrame) -> DataFrame:
@@ -199,9 +199,8 @@ _STATUS = f"{_COVERAGE}, gone AS (SELECT DISTINCT doc_id, page FROM u ANTI JOIN
 @query(f"WITH {_STATUS} SELECT doc_id, n_loss, n_review, status FROM st")
 def doc_status(spark, sf_dir):
     """AG2 over G1 and G2: which documents are final, draft or for review?"""
-    units = frag(spark, sf_dir)
-    output = lossy(units)
-    return C.document_status(units, [C.missing_pages(units, output)], [], C.page_coverage(units, output))
+    units = frag(spark, sf_dir, False)
+    return C.page_status(C.page_findings(units, lossy(units)))
 
 
 @query(f"WITH {FRAG}, {KEPT}, a AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{REQUIRED}')) AS anchor FROM u), r AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{REQUIRED}')) AS anchor FROM kept) SELECT doc_id, lower(anchor) AS anchor FROM a ANTI JOIN r USING (doc_id, anchor)")
@@ -234,7 +233,7 @@ _PAIR = r"(?:^|[^\w])(\d+(?:[.,]\d+)?)\s+([A-Za-zµ/%]+)(?:$|[^\w])"
 @query(rf"WITH {LINE}, z AS (SELECT doc_id, unit_id, text, regexp_extract_all(' ' || replace(text, ' ', '  ') || ' ', '{_PAIR}', 1) AS a, regexp_extract_all(' ' || replace(text, ' ', '  ') || ' ', '{_PAIR}', 2) AS b FROM u), e AS (SELECT doc_id, unit_id, unnest(range(1, len(a) + 1)) AS i, unnest(a) AS n, unnest(b) AS w FROM z), f AS (SELECT * FROM e WHERE regexp_matches(w, '[A-Za-z]') AND NOT contains(n, '.') AND NOT (regexp_full_match(n, '\d+') AND TRY_CAST(n AS HUGEINT) >= 1000) AND NOT list_contains({_listed(P.KNOWN_UNITS + P.NON_UNIT_WORDS)}, lower(w)) AND lower(w) NOT LIKE 'm3%' AND NOT regexp_matches(w, '^[A-Z]') AND length(w) <= 4) SELECT doc_id, unit_id, arg_min(n || ' ' || w, i) AS value FROM f GROUP BY ALL")
 def suspicious_units(spark, sf_dir):
     """E2."""
-    return D.row_items(line(spark, sf_dir), ("E2",)).select("doc_id", F.col("source_refs")[0].alias("unit_id"), "value")
+    return D.row_items(line(spark, sf_dir, False), ("E2",)).select("doc_id", F.col("source_refs")[0].alias("unit_id"), "value")
 
 
 @query("SELECT * FROM (VALUES ('numbers:u0', '10 xyz'), ('numbers:u3', '7 qq')) t(unit_id, value)")
@@ -246,7 +245,7 @@ def suspicious_units_fixture(spark, sf_dir):
 @query(f"WITH {LINE} SELECT doc_id, unit_id FROM u WHERE length(text) - length(replace(text, '|', '')) >= 3 AND NOT (text LIKE '%||%' AND regexp_matches(text, '(?i)\\b(preamble|payload|access address|crc|tot|length|value)\\b'))")
 def pipe_tables(spark, sf_dir):
     """D3."""
-    return D.row_items(line(spark, sf_dir), ("D3",)).select("doc_id", F.col("source_refs")[0].alias("unit_id"))
+    return D.row_items(line(spark, sf_dir, False), ("D3",)).select("doc_id", F.col("source_refs")[0].alias("unit_id"))
 
 
 GERMAN = ["der", "die", "und", "den", "von", "nicht", "das", "mit", "ein"]
@@ -264,7 +263,7 @@ _ESCAPED = "replace(replace(replace(replace(replace({t}, '&', '&amp;'), '<', '&l
 @query(f"WITH {FRAG} SELECT unit_id, CASE WHEN regexp_matches(text, '^\\d+(\\.\\d+)*\\s+.') THEN '<h' || least(4, 1 + length(n) - length(replace(n, '.', ''))) || '>' || {_ESCAPED.format(t='text')} || '</h' || least(4, 1 + length(n) - length(replace(n, '.', ''))) || '>' ELSE '<p>' || {_ESCAPED.format(t='text')} || '</p>' END AS html FROM (SELECT unit_id, text, regexp_extract(text, '^(\\d+(?:\\.\\d+)*)', 1) AS n FROM u)")
 def html_blocks(spark, sf_dir):
     """K2."""
-    blocks = frag(spark, sf_dir).select("unit_id", "raw_text", F.lit("emit").alias("operation"), F.lit("emitted").alias("disposition"))
+    blocks = frag(spark, sf_dir, False).select("unit_id", "raw_text", F.lit("emit").alias("operation"), F.lit("emitted").alias("disposition"))
     return blocks.select("unit_id", R.block_html().alias("html"))
 
 
@@ -281,7 +280,7 @@ def html_strip_tokens(spark, sf_dir):
 @query(f"WITH {FRAG}, w AS (SELECT *, ord // 40 AS p FROM u), r AS (SELECT 'D3' AS rule_id, doc_id FROM u WHERE length(text) - length(replace(text, '|', '')) >= 3) SELECT rule_id, 'needs_review' AS severity, count(*) AS n, count(DISTINCT doc_id) AS docs FROM r GROUP BY 1")
 def findings_by_rule(spark, sf_dir):
     """AG6 over D3 of the corpus."""
-    return R.findings_by_rule(D.row_items(frag(spark, sf_dir), ("D3",)))
+    return R.findings_by_rule(D.row_items(frag(spark, sf_dir, False), ("D3",)))
 
 
 # --- rules over fixtures -----------------------------------------------------------------

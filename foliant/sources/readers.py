@@ -105,28 +105,29 @@ def _as_units(rows: DataFrame, per_page: int = 40) -> DataFrame:
     )
 
 
-def by_document(documents: DataFrame) -> DataFrame:
-    """doc_id (as a string), text, dealt out by doc_id.
+def by_document(documents: DataFrame, grouped: bool = True) -> DataFrame:
+    """doc_id (as a string), text; dealt out by doc_id if later steps are grouped by document.
 
-    All later steps stay within a document: with its text in place before it is cut into
-    units, their windows and sums need no shuffle of their own.
+    With a document's text in place before it is cut into units, their windows and sums need
+    no shuffle of their own. Steps that look at single units, or sum by another key, need none at all.
     """
-    return documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text").repartition("doc_id")
+    rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return rows.repartition("doc_id") if grouped else rows
 
 
-def units_by_line(documents: DataFrame) -> DataFrame:
+def units_by_line(documents: DataFrame, grouped: bool = True) -> DataFrame:
     """Documents as units, one for each line."""
-    rows = by_document(documents).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("k", "text"))
+    rows = by_document(documents, grouped).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("k", "text"))
     return _as_units(rows)
 
 
-def units_by_words(documents: DataFrame, size: int = 12) -> DataFrame:
+def units_by_words(documents: DataFrame, size: int = 12, grouped: bool = True) -> DataFrame:
     """Documents as units of ``size`` words."""
     def chunks(w):
         starts = F.when(F.size(w) > 0, F.sequence(F.lit(1), F.size(w), F.lit(size))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.array_join(F.slice(w, i, size), " "))
 
-    rows = by_document(documents).select("doc_id", F.posexplode(T.let(T.words(F.col("text")), chunks)).alias("k", "text"))
+    rows = by_document(documents, grouped).select("doc_id", F.posexplode(T.let(T.words(F.col("text")), chunks)).alias("k", "text"))
     return _as_units(rows)
 
 
