@@ -8,14 +8,14 @@ neighbours in one table, and a signature is the minimum over such rows.
 only the class's first document goes on. Documents that share a band fall in a bucket. Each
 bucket's smallest document is tested against the others, small buckets are tested in full,
 and what is similar is joined. Documents of larger buckets that still hold several
-components go on with long signatures and finer bands of these: in each finer bucket, documents outside
-its largest component are tested against the most similar of other components, and in
-the last round against all that can be similar. So a group of n copies of one page costs
+components go on with long signatures: documents outside a bucket's largest component are
+tested against the most similar of other components, and in the last round against all
+that can be similar. So a group of n copies of one page costs
 some n tests, and yet no link that joins two components is left out. All tests are exact,
 over the shingles of both whole texts.
 
 *Hot buckets.* Joins by bucket are dealt out by a further hash of the document. The members
-of a finer bucket lie in blocks, each in one task; only documents outside the largest
+of an open bucket lie in blocks, each in one task; only documents outside the largest
 component, not all, are copied to every block.
 """
 
@@ -36,9 +36,8 @@ from .components import components
 #: Places on the circle, coordinates, bands. At 0.8 a pair shares no band of four
 #: coordinates with a probability of (1 - 0.8**4)**24, or 5 in a million.
 CIRCLE, COORDINATES, BANDS = 1 << 20, 96, 24
-#: Coordinates of a long signature; the first ones are those of the short one. Its finer
-#: bands: at 0.8 a pair shares none with a probability of (1 - 0.8**11)**139, or 4 in a million.
-LONG, FINE, FINE_BANDS = 1536, 11, 139
+#: Coordinates of a long signature; the first ones are those of the short one.
+LONG = 1536
 #: Pairs that agree in fewer coordinates than these shares of a short and a long signature
 #: go untested: 4.4 standard deviations below a similarity of 0.8.
 LEAST_SHORT, LEAST_LONG = 0.62, 0.755
@@ -46,7 +45,7 @@ LEAST_SHORT, LEAST_LONG = 0.62, 0.755
 ROUNDS = (16, 0)
 #: Up to so many ids are sent to every task; more are joined.
 SENT_IDS = 1_000_000
-#: Buckets up to SMALL documents are paired by a join; members of a finer bucket's block.
+#: Buckets up to SMALL documents are paired by a join; members of an open bucket's block.
 SMALL, BLOCK = 16, 2048
 #: Parts that a bucket's documents are dealt to in joins.
 PARTS = 16
@@ -125,18 +124,6 @@ def signatures(docs: DataFrame, size: int = 2) -> DataFrame:
     return rows.mapInArrow(lambda b: _signed(b, size), "doc_id bigint, n_shingles bigint, words binary, sig binary, bands array<bigint>")
 
 
-def fine_keys(sigs: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each finer band of each long signature (low bytes)."""
-    keys = np.empty((len(sigs), FINE_BANDS), np.int64)
-    for i in range(0, len(sigs), 256):
-        parts = sigs[i : i + 256, : FINE * FINE_BANDS].reshape(-1, FINE_BANDS, FINE)
-        out = np.broadcast_to(np.arange(1, FINE_BANDS + 1, dtype=np.uint64) * _Q, parts.shape[:2])
-        for k in range(FINE):
-            out = _mixed(out + (parts[:, :, k].astype(np.uint64) + np.uint64(1)) * _P)
-        keys[i : i + 256] = out.view(np.int64)
-    return keys
-
-
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of pairs a, b with sig_a, sig_b: those that agree in enough coordinates."""
     for batch in batches:
@@ -150,14 +137,15 @@ def _long(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
     for batch in batches:
         for i in range(0, batch.num_rows, 1024):
             part = batch.slice(i, 1024)
-            sigs, counts = np.zeros((part.num_rows, LONG), np.uint8), []
+            sigs, short, counts = np.zeros((part.num_rows, LONG), np.uint8), np.zeros((part.num_rows, COORDINATES), np.uint32), []
             for k, text in enumerate(part.column(1).to_pylist()):
                 hashes = shingle_hashes(lower_words(text), size)
                 counts.append(len(hashes))
                 if len(hashes):
-                    sigs[k] = signature(hashes, LONG).astype(np.uint8)
-            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * FINE_BANDS), pa.array(fine_keys(sigs).ravel()))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in sigs], pa.binary()), keys], ["node", "n_shingles", "sig", "keys"])
+                    whole = signature(hashes, LONG)
+                    sigs[k], short[k] = whole.astype(np.uint8), whole[:COORDINATES]
+            columns = [pa.array([x.tobytes() for x in rows], pa.binary()) for rows in (sigs, band_keys(short))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), *columns], ["node", "n_shingles", "sig", "keys"])
 
 
 def shingle_set(text: str | None, size: int) -> frozenset:
@@ -187,16 +175,16 @@ def _verified(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Ite
 def _blocks(batches: Iterator[pa.RecordBatch], percent: int, most: int) -> Iterator[pa.RecordBatch]:
     """Pairs of a bucket's outliers with members of a block, if both are in different components.
 
-    Columns key, block, outlier, node, component, main, n_shingles, sig, sorted by the first
+    Columns key, block, outlier, node, component, main, n_shingles, sig, keys, sorted by the first
     three: the members of a block come first, then the outliers of its bucket. Two outliers
     meet in the block of the larger one, and each pair only in the bucket of its first common band.
     """
     block, members, kept = None, [], None
 
     def arrays(rows: list[tuple]) -> tuple:
-        node, part, main, n, sig = zip(*(r[3:] for r in rows), strict=True)
-        sig = np.frombuffer(b"".join(sig), np.uint8).reshape(-1, LONG)
-        return np.array(node), np.array(part), np.array(main), np.array(n), sig, np.ascontiguousarray(sig[:, :COORDINATES]), fine_keys(sig)
+        node, part, main, n, sig, keys = zip(*(r[3:] for r in rows), strict=True)
+        sig, keys = np.frombuffer(b"".join(sig), np.uint8).reshape(-1, LONG), np.frombuffer(b"".join(keys), np.int64).reshape(-1, BANDS)
+        return np.array(node), np.array(part), np.array(main), np.array(n), sig, np.ascontiguousarray(sig[:, :COORDINATES]), keys
 
     for batch in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
         rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
@@ -298,14 +286,9 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     texts = written(only(docs, doc_id="bigint", text="string").join(wanted, "doc_id", "left_semi"), "texts")
     parts = components(written(_similar(tested, texts, size, percent), "links"))
 
-    # large buckets that are still open: the finer bands of their documents
-    placed = large.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    rest = placed.withColumn("part", _part("node")).join(_dealt(open_keys), ["key", "part"], "left_semi").select(F.col("node").alias("doc_id")).distinct()
-    members = texts.join(rest, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    long = written(members.mapInArrow(lambda b: _long(b, size), "node bigint, n_shingles bigint, sig binary, keys array<bigint>"), "long-signatures")
+    long = None
     for most in ROUNDS:
-        placed = written(long.select("node", "keys").join(parts, "node", "left").select(F.explode("keys").alias("key"), "node", F.coalesce("component", "node").alias("component")), "placed")
+        placed = large.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
         sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
         open_keys = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("members"), F.count("*").alias("components")).filter("components > 1")
         open_keys = open_keys.select("key", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
@@ -313,9 +296,12 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
         rest = written(rest, "open-buckets")
         if rest.isEmpty():
             break
+        if long is None:
+            members = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+            long = written(members.mapInArrow(lambda b: _long(b, size), "node bigint, n_shingles bigint, sig binary, keys binary"), "long-signatures")
         own = rest.select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("outlier"))
         away = rest.filter("component <> main").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("outlier"))
-        rows = own.unionByName(away).join(long.select("node", "n_shingles", "sig"), "node").select("key", "block", "outlier", "node", "component", "main", "n_shingles", "sig")
+        rows = own.unionByName(away).join(long, "node").select("key", "block", "outlier", "node", "component", "main", "n_shingles", "sig", "keys")
         found = rows.repartition("key", "block").sortWithinPartitions("key", "block", "outlier").mapInArrow(lambda b, most=most: _blocks(b, percent, most), "a bigint, b bigint")
         todo = written(found.distinct().join(tested, ["a", "b"], "left_anti"), "tested")
         more = written(_similar(todo, texts, size, percent), "links")

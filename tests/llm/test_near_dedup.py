@@ -102,15 +102,6 @@ def test_equal_sets_of_different_sequences(spark):
     assert got == {3: 2, 2: 2, 9: 2, 5: 2, 7: 7}
 
 
-def test_fine_keys():
-    sigs = np.random.default_rng(1).integers(0, 256, (3, N.LONG)).astype(np.uint8)
-    sigs[1, : N.FINE * 5] = sigs[0, : N.FINE * 5]
-    keys = N.fine_keys(sigs)
-    assert keys.shape == (3, N.FINE_BANDS)
-    assert (keys[0] == keys[1]).tolist() == [k < 5 for k in range(N.FINE_BANDS)]
-    assert len(np.unique(keys)) == keys.size - 5
-
-
 def test_very_long_word_and_blank_rows(spark):
     docs = [(1, "x" * 300_000), (2, "x" * 300_000), (3, " \n "), (4, None), (5, "\u00a0")]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
