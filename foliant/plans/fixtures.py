@@ -91,3 +91,66 @@ def sql_rows(rows: list[tuple], columns: str, name: str) -> str:
 def sql_units(rows: list[tuple] | None = None, *docs: str, name: str = "u") -> str:
     rows = UNIT_ROWS if rows is None else rows
     return sql_rows([r for r in rows if not docs or r[0] in docs], _COLUMNS, name)
+
+
+#: What stands at the places of a page (40 blocks) of a structured corpus: place, dtype, text, and
+#: other columns. Expressions that Spark and DuckDB read alike, over n (the document's number), page
+#: and text; what differs from document to document makes rules hold in some and not in others.
+STRUCTURE = [
+    (0, "title", "(page + 1) || '.1 Scope of work'", {}),
+    (3, "title", "(page + 1) || '.' || (2 + n % 3) || ' General'", {}),
+    (5, "caption", "'Table ' || (2 * page + 1) || ' Values'", {}),
+    (6, "caption", "'Table ' || (2 * page + 2 + n % 2) || ' Limits'", {}),
+    (8, "title", "'Overview'", {}),
+    (9, "title", "CASE WHEN n % 2 = 0 THEN 'Details of it' ELSE 'More of it' END", {}),
+    (11, "text", "'one'", {}),
+    (12, "text", "CASE WHEN n % 2 = 0 THEN 'two words' ELSE 'It ends here.' END", {}),
+    (13, "text", "'three'", {}),
+    (14, "text", "'four'", {}),
+    (16, "list", "CASE WHEN n % 2 = 0 THEN '- first' ELSE 'second without' END", {}),
+    (17, "text", "CASE WHEN n % 3 = 0 THEN 'Use <<NAME>> here' ELSE 'Value ??? lost' END", {}),
+    (18, "text", "'Set 10 xyz and 5 bar'", {}),
+    (19, "text", "CASE WHEN n % 2 = 0 THEN 'The gateway as defined here' ELSE 'A gateway is a device' END", {}),
+    (20, "text", "CASE WHEN n % 2 = 0 THEN 'A gateway is a device' ELSE 'The gateway as defined here' END", {}),
+    (22, "text", "'left part'", {"x1": "200.0"}),
+    (23, "text", "'right part'", {"x0": "CASE WHEN n % 2 = 0 THEN 320.0 ELSE 250.0 END", "x1": "500.0", "y0": "456.0"}),
+    (27, "title", "(page + 1) || '.7 The system shall start'", {}),
+    (29, "title", "(page + 1) || '.8 Broken head-'", {}),
+    (33, "text", "'See ISO 9001 at 10 bar, 92% of Table 9'", {}),
+    (36, "caption", "'Figure ' || (page + 1) || ' Layout'", {}),
+    (38, "text", "CASE WHEN n % 2 = 0 THEN '3) A note at the left' ELSE text END", {}),
+    (39, "text", "CASE WHEN n % 3 = 0 THEN 'Page 3' WHEN n % 3 = 1 THEN 'Copyright of someone' ELSE text END", {}),
+]
+#: A table in place of the block at 31.
+TABLE = (31, "table", "text || '<table><tr><th>' || CASE WHEN n % 3 = 0 THEN 'Name</th><th>Code' ELSE 'Term</th><th>Definition' END || '</th></tr><tr><td>' || (page + 1) || '.11</td><td>gateway</td></tr><tr><td> ' || (page + 1) || '.12 </td><td>meter</td></tr></table>'", {})
+
+
+def _placed(column: str, rows: list[tuple], otherwise: str) -> str:
+    """A CASE over the places that give the column."""
+    given = [(k, dtype if column == "dtype" else text if column == "text" else more.get(column)) for k, dtype, text, more in rows]
+    cases = " ".join(f"WHEN {k} THEN " + (sql_value(v) if column == "dtype" else v) for k, v in given if v is not None)
+    return f"CASE ord % 40 {cases} ELSE {otherwise} END"
+
+
+def structured_columns(table: bool = False) -> dict[str, str]:
+    rows = [*STRUCTURE, TABLE] if table else STRUCTURE
+    return {"dtype": _placed("dtype", rows, "'text'"), "raw_text": _placed("text", rows, "text"), **{c: _placed(c, rows, other) for c, other in (("x0", "40.0"), ("x1", "x1"), ("y0", "y0"))}}
+
+
+def structured(units: DataFrame, table: bool = False) -> DataFrame:
+    """Units of documents with headings, captions, lists and the like at fixed places."""
+    from ..functions import text as T
+
+    rows = units.withColumns({"n": F.col("doc_id").cast("bigint"), "text": F.col("raw_text")})
+    made = {name: F.expr(sql).cast("double" if name in ("x0", "x1", "y0") else "string") for name, sql in structured_columns(table).items()}
+    # by inline, so that the long cases are reckoned once and not wherever a rule reads them
+    kept = [F.col(c) for c in units.columns if c not in (*made, "audit_text", "y1")]
+    rows = rows.select(F.inline(F.array(F.struct(*kept, *[c.alias(name) for name, c in made.items()]))))
+    return rows.withColumns({"audit_text": T.normalize_audit(F.col("raw_text")), "y1": F.col("y0") + 14})
+
+
+def sql_structured(raw: str, table: bool = False) -> str:
+    """The same as a table ``u`` over one of documents' units, whose definition ends with a table ``u``."""
+    named = ", ".join(f"{sql} AS {name}" for name, sql in structured_columns(table).items())
+    head, tail = raw.rsplit("u AS (", 1)
+    return f"{head}plain AS ({tail}, u AS (SELECT doc_id, ord, unit_id, 'block' AS granularity, page, {named}, y0 + 14 AS y1 FROM (SELECT *, CAST(doc_id AS BIGINT) AS n FROM plain))"

@@ -539,3 +539,81 @@ def fixture_audit(spark, sf_dir):
 def fixture_review_items(spark, sf_dir):
     """All detectors over the fixtures; tested in the repository."""
     return _refs(D.review_items(X.units(spark)), "reason", "previous", "current", "value", "term")
+
+
+# --- rules over documents with headings, captions and lists at fixed places ---------------
+def _structured(spark, sf_dir, grouped: bool = True) -> DataFrame:
+    return X.structured(frag(spark, sf_dir, grouped))
+
+
+_STRUCTURED = X.sql_structured(FRAG)
+
+
+def _over_documents(name: str, fixture: str, rows: Callable[[DataFrame], DataFrame], grouped: bool = True) -> None:
+    """Registers the fixture query ``name`` as ``corpus_<name>``: the same rows and SQL over all documents."""
+    if fixture not in ORACLES[name]:
+        raise ValueError(name)
+
+    def run(spark, sf_dir):
+        return rows(_structured(spark, sf_dir, grouped))
+
+    run.__name__ = f"corpus_{name}"
+    query(ORACLES[name].replace(fixture, _STRUCTURED))(run)
+
+
+_over_documents("section_sequence_gaps", X.sql_units(), lambda u: _refs(D.section_gaps(u), "previous", "current"))
+_over_documents("table_figure_gaps", X.sql_units(), lambda u: _refs(D.caption_gaps(u), "reason", "previous", "current"))
+_over_documents("consecutive_headings", X.sql_units(None, "headings"), lambda u: _refs(D.consecutive_headings(u)))
+_over_documents("short_runs", X.sql_units(None, "short"), lambda u: _refs(D.short_runs(u)))
+_over_documents("cross_column", X.sql_units(None, "columns"), lambda u: _refs(D.cross_column(u)))
+_over_documents("term_order", X.sql_units(None, "terms"), lambda u: _refs(D.term_order(u), "term"))
+_over_documents("foreign_mix", X.sql_units(None, "foreign", "italian"), lambda u: _refs(D.row_items(u, ("C3",))))
+_over_documents("footnotes", X.sql_units(None, "footnotes"), lambda u: _refs(D.row_items(u, ("C1",))), False)
+_over_documents("corruption", X.sql_units(None, "signs"), lambda u: _refs(D.row_items(u, ("E3",))), False)
+_over_documents("list_bullets", X.sql_units(None, "lists"), lambda u: _refs(D.row_items(u, ("D2",))), False)
+_over_documents("headings_and_captions", X.sql_units(), lambda u: _refs(D.row_items(u, ("A3", "A4", "D4"))), False)
+
+
+@query(f"WITH {_STRUCTURED}, a AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(raw_text, '{CANDIDATE}')) AS a FROM u) SELECT DISTINCT doc_id, lower({SQUEEZE.format(t='a')}) AS anchor FROM a WHERE NOT regexp_full_match(lower({SQUEEZE.format(t='a')}), '(uni|en|iso)\\s+\\d{{1,2}}')")
+def corpus_candidate_anchors(spark, sf_dir):
+    """P7, P8, P10 over documents with such anchors."""
+    rows = _structured(spark, sf_dir, False).select("doc_id", F.col("raw_text").alias("text"))
+    return C.document_anchors(rows, P.CANDIDATE_ANCHOR).filter(~F.rlike("anchor", F.lit(P.BARE_STANDARD)))
+
+
+@query(ORACLES["suspicious_units"].replace(LINE, _STRUCTURED).replace("SELECT doc_id, unit_id, text,", "SELECT doc_id, unit_id, raw_text,").replace("replace(text, ' ', '  ')", "replace(raw_text, ' ', '  ')"))
+def corpus_suspicious_units(spark, sf_dir):
+    """E2 over documents with such units."""
+    return D.row_items(_structured(spark, sf_dir, False), ("E2",)).select("doc_id", F.col("source_refs")[0].alias("unit_id"), "value")
+
+
+_TABLED = X.sql_structured(FRAG, True)
+
+
+@query(rf"WITH {_TABLED}, t AS (SELECT doc_id, unit_id, raw_text, regexp_extract_all(raw_text, '<td[^>]*>\s*(\d+(?:\.\d+)+)\s*</td>', 1) AS n FROM u WHERE dtype = 'table') SELECT doc_id, unit_id, i AS nth, n[i + 1] AS number, '#embedded-section-' || i || ':' || n[i + 1] AS suffix FROM (SELECT *, unnest(range(0, len(n))) AS i FROM t WHERE contains(raw_text, 'Definition') AND CAST(doc_id AS BIGINT) % 3 <> 0)")
+def embedded_sections(spark, sf_dir):
+    """Section numbers in tables of numbered terms, over documents with tables; tables of codes have none."""
+    tables = X.structured(frag(spark, sf_dir, False), True).filter("dtype = 'table'")
+    each = tables.select("doc_id", "unit_id", F.posexplode(D.embedded_numbers(F.col("raw_text"))).alias("nth", "e")).filter(~F.contains("e.suffix", F.lit("-text-")))
+    return each.select("doc_id", "unit_id", F.col("nth").cast("bigint").alias("nth"), "e.number", "e.suffix")
+
+
+@query()
+def corpus_review_items(spark, sf_dir):
+    """All detectors over structured documents, by document and rule; each rule has its SQL in a query of its own."""
+    items = D.review_items(X.structured(frag(spark, sf_dir), True))
+    return items.groupBy("doc_id", "rule_id").agg(F.count("*").alias("n"))
+
+
+@query()
+def corpus_audit(spark, sf_dir):
+    """The whole plan over structured documents: which are final, drafts or for review; tested against its parts."""
+    from .audit import run_audit
+
+    return run_audit(X.structured(frag(spark, sf_dir), True)).status
+
+
+@query()
+def corpus_findings_by_rule(spark, sf_dir):
+    """AG6: the findings of all detectors over structured documents, by rule; tested against ``corpus_review_items``."""
+    return R.findings_by_rule(D.review_items(X.structured(frag(spark, sf_dir), True)))
