@@ -46,7 +46,7 @@ ROUNDS = (16, 0)
 #: Up to so many ids are sent to every task; more are joined.
 SENT_IDS = 1_000_000
 #: Buckets up to SMALL documents are paired by a join; members of an open bucket's block.
-SMALL, BLOCK = 16, 2048
+SMALL, BLOCK = 16, 1024
 #: Parts that a bucket's documents are dealt to in joins.
 PARTS = 16
 SEED = 20240607
