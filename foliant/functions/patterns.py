@@ -39,6 +39,8 @@ REQUIRED_ANCHOR = r"(?iU)\b(?:\d+(?:\.\d+)+|Table\s+\d+|Figure\s+\d+|Appendix\s+
 CANDIDATE_ANCHOR = r"(?iU)\b(?:UNI(?:/[A-Z]+)?\s+\d+(?::\d+)?\b|EN\s+\d+(?::\d+)?\b|ISO\s+\d+(?::\d+)?\b|\d+(?:[.,]\d+)?\s*(?:bar\b|m3\b|m³(?![\w³])|l/h\b|%\b|s\b|ms\b|V\b|Hz\b))"
 FIGURE_TABLE_ANCHOR = r"(?iU)\b(?:Table|Figure)\s+\d+\b"
 SOURCE_ANCHOR = r"(?iU)\b(?:\d+(?:\.\d+)+|Table\s+\d+|Figure\s+\d+|Appendix\s+[A-Z]|UNI(?:/[A-Z]+)?\s+\d+|ISO\s+\d+)\b"
+#: What an anchor of several words begins with.
+ANCHOR_BEGINS = r"(?iU)^(?:table|figure|appendix|uni|en|iso|\d[\w.]*)$"
 BARE_STANDARD = r"(?iU)^(?:uni|en|iso)\s+\d{1,2}$"
 SECTION_ANCHOR = r"(?U)^\d+(?:\.\d+)+$"
 ISOLATED_SECTION = r"(?U)^(?:\d+(?:\.\d+)*|[A-Z](?:\.\d+)*)$"

@@ -150,10 +150,6 @@ def canonical_tokens(text: Column, decode: bool = True) -> Column:
     return _all(F.lower(F.translate(t, "-/", "  ")), "[0-9a-zÀ-ɏ]+")
 
 
-def char_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", ""))
-
-
 def recovery_kind(anchor: Column) -> Column:
     a = normalize_anchor(anchor)
     kinds = (("section", P.SECTION_ANCHOR), ("table", r"(?U)^table\s+\d+$"), ("figure", r"(?U)^figure\s+\d+$"), ("appendix", r"(?U)^appendix\s+[a-z]$"))
@@ -216,12 +212,6 @@ def safe_line(line: Column, has_bbox: Column, heading_like: Column, anchor: Colu
     return F.when(ok, trimmed)
 
 
-def snippet_for(text: Column, start: Column, end: Column, radius: int = 80) -> Column:
-    """Squeezed text around places counted from 0."""
-    low = F.greatest(F.lit(0), start - radius)
-    return squeezed(F.substr(text, low + 1, end + radius - low))
-
-
 def sentence_terminal(text: Column) -> Column:
     return F.rlike(stripped(text), F.lit(r"[.!?:;)]$"))
 

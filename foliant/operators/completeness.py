@@ -89,7 +89,7 @@ def page_coverage(units: DataFrame, output: DataFrame, threshold: float = THRESH
 
 
 def page_findings(units: DataFrame, output: DataFrame, threshold: float = THRESHOLD, decode: bool = True) -> DataFrame:
-    """G1 and G2 in one sum: doc_id, page, missing, tokens, covered, ratio, band of every source page.
+    """G1 and G2 in one sum: doc_id, page, full, missing, tokens, covered, ratio, band of every source page.
 
     A block counts its tokens and, as an empty one, whether it is blank: so one table of
     counts holds both audits, and texts are cut once for each side. Pages without source
@@ -114,7 +114,7 @@ def page_findings(units: DataFrame, output: DataFrame, threshold: float = THRESH
         F.sum(F.when(token, F.least("n", "m")).otherwise(0)).alias("covered"),
     )
     ratio = F.when(F.col("tokens") > 0, F.col("covered") / F.col("tokens"))
-    return pages.filter("source").select("doc_id", "page", (F.col("full") & ~F.col("there")).alias("missing"), "tokens", "covered", ratio.alias("ratio"), _band(ratio, threshold).alias("band"))
+    return pages.filter("source").select("doc_id", "page", "full", (F.col("full") & ~F.col("there")).alias("missing"), "tokens", "covered", ratio.alias("ratio"), _band(ratio, threshold).alias("band"))
 
 
 def page_status(findings: DataFrame) -> DataFrame:
@@ -143,20 +143,21 @@ def source_text(units: DataFrame, pages: bool = True) -> DataFrame:
 def missing_anchors(source: DataFrame, output: DataFrame, pattern: str = P.REQUIRED_ANCHOR) -> DataFrame:
     """doc_id, anchor of ``source`` (doc_id, anchor) that no text of ``output`` (doc_id, text) shows as a whole token.
 
-    Anchors that the output has as such fall away in an anti join. A whole token begins a
-    run of word signs and points, so what is left is joined to the texts by its first run;
-    only texts that have this run are searched, and none where the run is the whole anchor.
+    A whole token begins a run of word signs and points. Anchors that the output has as
+    such, and anchors that are one of its runs, fall away in an anti join. The few of
+    several runs that are left are joined to the texts by their first run, and only these
+    texts are searched.
     """
-    left = source.join(document_anchors(output, pattern), ["doc_id", "anchor"], "left_anti")
-    anchor = T.normalize_anchor(F.col("anchor"))
-    runs = T.word_runs(anchor)
-    left = left.select("doc_id", "anchor", F.get(runs, F.lit(0)).alias("run"), (F.get(runs, F.lit(0)) == anchor).alias("single"))
-    texts = output.join(left.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text", F.xxhash64("text").alias("block"))
-    there = texts.select("doc_id", "block", F.explode(F.array_distinct(T.word_runs(T.normalize_anchor(F.col("text"))))).alias("run")).distinct()
-    found = left.join(there, ["doc_id", "run"])
-    sure = found.filter("single").select("doc_id", "anchor")
-    searched = found.filter("not single").join(texts, ["doc_id", "block"]).filter(T.anchor_present(F.col("anchor"), F.col("text"))).select("doc_id", "anchor")
-    return left.select("doc_id", "anchor").join(sure.unionByName(searched).distinct(), ["doc_id", "anchor"], "left_anti")
+    text = F.coalesce("text", F.lit(""))
+    runs = T.word_runs(T.normalize_anchor(text))
+    shown = output.select("doc_id", F.explode(F.array_union(T.anchors(text, pattern), runs)).alias("anchor")).distinct()
+    left = source.join(shown, ["doc_id", "anchor"], "left_anti")
+    first = F.get(T.word_runs(T.normalize_anchor(F.col("anchor"))), F.lit(0))
+    several = left.select("doc_id", "anchor", first.alias("run")).filter(F.col("run") != F.col("anchor"))
+    begins = F.filter(F.array_distinct(runs), lambda r: F.rlike(r, F.lit(P.ANCHOR_BEGINS)))
+    found = several.join(output.select("doc_id", "text", F.explode(begins).alias("run")), ["doc_id", "run"])
+    found = found.filter(T.anchor_present(F.col("anchor"), F.col("text"))).select("doc_id", "anchor").distinct()
+    return left.join(found, ["doc_id", "anchor"], "left_anti")
 
 
 def anchor_loss(units: DataFrame, output: DataFrame, pages: bool = True) -> DataFrame:
@@ -176,6 +177,29 @@ def figure_table_difference(units: DataFrame, output: DataFrame) -> DataFrame:
     return document_anchors(source_text(units), P.FIGURE_TABLE_ANCHOR).join(there, ["doc_id", "anchor"], "left_anti")
 
 
+def audit_counts(units: DataFrame, output: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """What each audit looked at and missed, one row a document.
+
+    doc_id, g1_pages, g1_missing, g2_low, g3_anchors, g3_missing, g3c_anchors, g3c_missing,
+    g4_anchors, g4_missing, g5_blocks, g5_failed.
+    """
+    count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("bigint"))
+    pages = page_findings(units, output, threshold)
+    out = pages.groupBy("doc_id").agg(count(F.col("full")).alias("g1_pages"), count(F.col("missing")).alias("g1_missing"), count(F.col("band").isin("loss", "review")).alias("g2_low"))
+    samples = sample_coverage(units, output)
+    candidates = document_anchors(source_text(units), P.CANDIDATE_ANCHOR).filter(~F.rlike("anchor", F.lit(P.BARE_STANDARD)))
+    parts = [
+        (document_anchors(source_text(units), P.REQUIRED_ANCHOR), "g3_anchors"), (anchor_loss(units, output), "g3_missing"),
+        (candidates, "g3c_anchors"), (candidate_loss(units, output), "g3c_missing"),
+        (document_anchors(source_text(units), P.FIGURE_TABLE_ANCHOR), "g4_anchors"), (figure_table_difference(units, output), "g4_missing"),
+        (samples, "g5_blocks"), (samples.filter("failed"), "g5_failed"),
+    ]
+    names = [name for _, name in parts]
+    marks = [df.select("doc_id", *[F.lit(int(n == name)).cast("bigint").alias(n) for n in names]) for df, name in parts]
+    sums = reduce(DataFrame.unionByName, marks).groupBy("doc_id").agg(*[F.sum(n).alias(n) for n in names])
+    return out.join(sums, "doc_id", "left").na.fill(0, names)
+
+
 def unmapped_blocks(disposed: DataFrame) -> DataFrame:
     """H2: blocks that stand in no output block."""
     return disposed.filter("granularity = 'block' and disposition = 'escalated'").select("doc_id", "unit_id")

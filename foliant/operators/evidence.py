@@ -30,6 +30,20 @@ def media_without_output(pages: DataFrame, units: DataFrame, output: DataFrame)
     return counted.filter("images > 0 or drawings > 0").join(media, ["doc_id", "page"], "left_anti")
 
 
+def page_anchors(hits: DataFrame) -> DataFrame:
+    """doc_id, page, anchor_count of pages with anchors."""
+    return hits.groupBy("doc_id", "page").agg(F.count_distinct("anchor").alias("anchor_count"))
+
+
+def grouped_locations(hits: DataFrame, most: int = 20) -> DataFrame:
+    """doc_id, anchor, places, locations: the first ``most`` places of each anchor, in their order."""
+    w = Window.partitionBy("doc_id", "anchor").orderBy("hit_ord")
+    first = hits.withColumn("nth", F.row_number().over(w))
+    place = F.struct("hit_ord", "page", "snippet", "x0", "y0", "x1", "y1", "heading_like")
+    shown = F.array_sort(F.collect_list(F.when(F.col("nth") <= most, place)))
+    return first.groupBy("doc_id", "anchor").agg(F.count("*").alias("places"), shown.alias("locations"))
+
+
 def structural_anchors(hits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """G3P: required anchors with a credible place, and the places of those without; up to five each."""
     shaped = hits.filter(F.rlike("anchor", F.lit(P.REQUIRED_ANCHOR))).withColumn("credible", T.credible_location(F.col("snippet"), F.col("anchor")))

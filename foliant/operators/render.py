@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,16 +74,42 @@ def findings_by_rule(items: DataFrame) -> DataFrame:
     return items.groupBy("rule_id", "severity").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
 
 
-def report(status: DataFrame, post: DataFrame, items: DataFrame, fixed: DataFrame) -> DataFrame:
-    """doc_id, markdown: status, losses and open items (doc_id, rule_id, severity, reason), repairs (doc_id, rule_id, fixed)."""
+def post_losses(expected: DataFrame, rendered: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
+    """doc_id, rule_id, reason, n: what rendering lost, by rule; boxes: drawn boxes of a paged artefact, for I3."""
+    found = [(empty_renders(rendered), "I1", "rendered_text_empty"), (missing_after_render(expected, rendered), "I2", "required_anchor_missing_after_render")]
+    if boxes is not None:
+        found.append((clipped(boxes), "I3", "rendered_content_outside_page_bounds"))
+    each = [df.select("doc_id", F.lit(rule).alias("rule_id"), F.lit(reason).alias("reason")) for df, rule, reason in found]
+    return reduce(DataFrame.unionByName, each).groupBy("doc_id", "rule_id", "reason").agg(F.count("*").alias("n"))
+
+
+def audit_summary(counts: DataFrame) -> DataFrame:
+    """doc_id, summary: the counts of ``completeness.audit_counts`` as lines."""
+    said = (
+        ("G1", "source pages: ", "g1_pages", "; missing pages: ", "g1_missing"), ("G2", "low coverage pages: ", "g2_low"), ("G3", "required anchors: ", "g3_anchors", "; missing: ", "g3_missing"),
+        ("G3C", "candidate anchors: ", "g3c_anchors", "; missing: ", "g3c_missing"), ("G4", "figure/table anchors: ", "g4_anchors", "; missing: ", "g4_missing"), ("G5", "sampled blocks: ", "g5_blocks", "; failed: ", "g5_failed"),
+    )
+    lines = [F.concat(F.lit(f"- `{rule}` "), *[F.col(x).cast("string") if x.startswith("g") else F.lit(x) for x in rest]) for rule, *rest in said]
+    return counts.select("doc_id", F.concat_ws("\n", *lines).alias("summary"))
+
+
+def report(status: DataFrame, post: DataFrame, items: DataFrame, fixed: DataFrame, lost: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """doc_id, markdown: status, losses and open items (doc_id, rule_id, severity, reason), repairs (doc_id, rule_id, fixed).
+
+    ``lost``: see ``post_losses``; ``counts``: see ``completeness.audit_counts``.
+    """
 
     def lines(df: DataFrame, text: Column, name: str) -> DataFrame:
         return df.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("- `"), "rule_id", F.lit("` "), F.coalesce(text, F.lit(""))))), "\n").alias(name))
 
     parts = [lines(items.filter("severity = 'content_loss'"), F.col("reason"), "loss"), lines(items.filter("severity = 'needs_review'"), F.col("reason"), "review"), lines(fixed, F.col("fixed"), "fixed")]
     both = status.select("doc_id", F.col("status").alias("before")).join(post.select("doc_id", F.col("status").alias("after")), "doc_id", "left")
-    for part in parts:
+    none = F.lit(None).cast("string")
+    after = [lines(lost, F.col("reason"), "after_lines")] if lost is not None else []
+    told = [audit_summary(counts)] if counts is not None else []
+    for part in (*parts, *after, *told):
         both = both.join(part, "doc_id", "left")
+    rest = F.concat(F.coalesce(F.concat(F.col("after_lines") if after else none, F.lit("\n")), F.lit("")), F.coalesce(F.concat(F.lit("\n## Audit summary\n\n"), F.col("summary") if told else none, F.lit("\n")), F.lit("")))
     agreed = F.when(F.col("before").eqNullSafe(F.col("after")), F.col("before")).otherwise("review")
     sections = [F.concat(F.lit(f"\n\n## {title}\n\n"), F.coalesce(c, F.lit("- none"))) for title, c in (("Content loss", "loss"), ("Needs review", "review"), ("Auto fixed", "fixed"))]
-    return both.select("doc_id", F.concat(F.lit("# Repair report\n\nStatus: `"), agreed, F.lit("`"), *sections, F.lit("\n\n## Post render\n\n- Status: `"), F.coalesce("after", F.lit("unknown")), F.lit("`\n")).alias("markdown"))
+    return both.select("doc_id", F.concat(F.lit("# Repair report\n\nStatus: `"), agreed, F.lit("`"), *sections, F.lit("\n\n## Post render\n\n- Status: `"), F.coalesce("after", F.lit("unknown")), F.lit("`\n"), rest).alias("markdown"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,16 +63,21 @@ def rejected_decisions(decisions: DataFrame, matched: DataFrame) -> DataFrame:
     return decisions.join(matched.filter("decision_idx is not null").select("doc_id", F.col("decision_idx").alias("idx")), ["doc_id", "idx"], "left_anti")
 
 
-def artifact_hashes(units: DataFrame, output: DataFrame) -> DataFrame:
+def artifact_hashes(units: DataFrame, output: DataFrame, hits: DataFrame | None = None, files: DataFrame | None = None) -> DataFrame:
     """doc_id, artifacts: hashes of a document's units and output blocks in a fixed order and form.
 
-    Decisions bind to these; files of any layout give the same hash.
+    Decisions bind to these; files of any layout give the same hash. ``hits``: evidence, which
+    is bound in the same way; ``files``: doc_id, sha256 of the source files' bytes.
     """
 
     def hashed(df: DataFrame, order: list[str], columns: list[str], name: str) -> DataFrame:
         row = F.struct(*order, F.to_json(F.struct(*columns)).alias("row"))
         return df.groupBy("doc_id").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["row"]), "\n"), 256).alias(name))
 
-    u = hashed(units, ["ord", "unit_id"], ["unit_id", "granularity", "page", "dtype", "raw_text"], "a")
-    o = hashed(output, ["phase", "seq"], ["output_id", "raw_text", "source_refs", "disposition"], "b")
-    return u.join(o, "doc_id", "full").select("doc_id", F.create_map(F.lit("source_inventory_sha256"), "a", F.lit("repair_manifest_sha256"), "b").alias("artifacts"))
+    parts = [hashed(units, ["ord", "unit_id"], ["unit_id", "granularity", "page", "dtype", "raw_text"], "source_inventory_sha256"), hashed(output, ["phase", "seq"], ["output_id", "raw_text", "source_refs", "disposition"], "repair_manifest_sha256")]
+    if hits is not None:
+        parts.append(hashed(hits, ["anchor", "hit_ord"], ["anchor", "page", "snippet", "line_text", "x0", "y0", "x1", "y1", "heading_like"], "source_pdf_audit_sha256"))
+    if files is not None:
+        parts.append(files.groupBy("doc_id").agg(F.min("sha256").alias("source_pdf_sha256")))
+    both = reduce(lambda a, b: a.join(b, "doc_id", "full"), parts)
+    return both.select("doc_id", F.create_map(*[x for name in both.columns[1:] for x in (F.lit(name), F.col(name))]).alias("artifacts"))

@@ -598,6 +598,19 @@ def embedded_sections(spark, sf_dir):
     return each.select("doc_id", "unit_id", F.col("nth").cast("bigint").alias("nth"), "e.number", "e.suffix")
 
 
+@query(f"WITH i AS ({ORACLES['corpus_list_bullets']}) SELECT doc_id, refs, 'review:D2:' || left(sha256('{{\"anchors\":[],\"pages\":[],\"reason\":\"list_block_missing_visible_bullet\",\"refs\":[\"' || refs || '\"],\"rule_id\":\"D2\"}}'), 20) AS review_item_id FROM i")
+def corpus_review_item_ids(spark, sf_dir):
+    """P42 for the items of D2 over structured documents."""
+    items = D.row_items(_structured(spark, sf_dir, False), ("D2",)).select("doc_id", "rule_id", "reason", "source_refs")
+    return review.with_item_ids(items).select("doc_id", F.array_join("source_refs", ",").alias("refs"), "review_item_id")
+
+
+@query(f"SELECT rule_id, 'needs_review' AS severity, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, rule_id FROM ({ORACLES['corpus_footnotes']}) UNION ALL SELECT doc_id, rule_id FROM ({ORACLES['corpus_corruption']}) UNION ALL SELECT doc_id, rule_id FROM ({ORACLES['corpus_list_bullets']}) UNION ALL SELECT doc_id, rule_id FROM ({ORACLES['corpus_headings_and_captions']})) GROUP BY rule_id")
+def corpus_row_findings(spark, sf_dir):
+    """AG6: findings of six rules in one pass over structured documents, by rule."""
+    return R.findings_by_rule(D.row_items(_structured(spark, sf_dir, False), ("A3", "A4", "C1", "D2", "D4", "E3")))
+
+
 @query()
 def corpus_review_items(spark, sf_dir):
     """All detectors over structured documents, by document and rule; each rule has its SQL in a query of its own."""

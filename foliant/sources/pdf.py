@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import PAGES, SPANS
+from ..schemas import BOXES, PAGES, SPANS
 from ..ship import ship
 
 #: A picture or drawing is significant from this share of its page on.
@@ -66,3 +66,32 @@ def read_spans(spark: SparkSession, path: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SPANS.split(", ")])
 
     return _files(spark, path).mapInPandas(run, SPANS)
+
+
+def read_text(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id (the file's name without its ending), text of rendered PDF files."""
+    _library()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fitz = _library()
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch.doc_id.str.replace(r"\.[^.]*$", "", regex=True), "text": ["\n".join(page.get_text("text") or "" for page in fitz.open(stream=c, filetype="pdf")) for c in batch.content]})
+
+    return _files(spark, path).mapInPandas(run, "doc_id string, text string")
+
+
+def read_boxes(spark: SparkSession, path: str) -> DataFrame:
+    """Boxes of text blocks and drawings of rendered PDF files with those of their pages (schemas.BOXES), for I3."""
+    _library()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fitz = _library()
+        for batch in batches:
+            rows = []
+            for doc_id, content in zip(batch.doc_id.str.replace(r"\.[^.]*$", "", regex=True), batch.content, strict=True):
+                for n, page in enumerate(fitz.open(stream=content, filetype="pdf")):
+                    drawn = [("text_block", b[:4]) for b in page.get_text("blocks") or []] + [("drawing", tuple(d["rect"])) for d in page.get_drawings() if d.get("rect")]
+                    rows += [(doc_id, n, kind, *map(float, box), *map(float, page.rect)) for kind, box in drawn]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in BOXES.split(", ")])
+
+    return _files(spark, path).mapInPandas(run, BOXES)

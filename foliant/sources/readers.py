@@ -184,8 +184,16 @@ def rendered_text(page: pd.Series) -> pd.Series:
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """path, length, sha256 of whole files."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """doc_id (the file's name), path, length, sha256 of whole files."""
+    return spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "([^/]+)$", 1).alias("doc_id"), "path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def rendered_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id (the file's name without its ending), text of rendered HTML or plain text files; PDF files are read by ``pdf.read_text``."""
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.regexp_replace(F.decode("content", "UTF-8"), "^\uFEFF", "").alias("raw"))
+    page = F.rlike("name", F.lit(r"(?i)\.html?$"))
+    text = F.when(page, rendered_text(F.when(page, F.col("raw")))).otherwise(F.col("raw"))
+    return files.select(F.regexp_replace("name", r"\.[^.]*$", "").alias("doc_id"), text.alias("text"))
 
 
 def classify_page(chars: Column, images: Column, drawings: Column) -> Column:
@@ -220,8 +228,3 @@ def key_values(text: str) -> dict[str, str]:
             raise ValueError(f"KEY=VALUE expected, got {line!r}")
         out[key] = value
     return out
-
-
-def upload_gate(allowed: bool, endpoint: str | None, token: str | None) -> str:
-    """'blocked' unless sending documents out is allowed and both endpoint and token are set."""
-    return "ready" if allowed and endpoint and token else "blocked"

@@ -11,7 +11,7 @@ sys.path.insert(0, ROOT)
 def spark():
     from pyspark.sql import SparkSession
 
-    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.sql.ui.retainedExecutions", "5").config("spark.sql.maxPlanStringLength", "20000").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -5,11 +5,15 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliant import cli
+from foliant.operators import evidence, render, repairs, review
+from foliant.plans import fixtures as X
 from foliant.plans.cases import case_errors
 from foliant.plans.suite import PARSER_JSON
-from foliant.sources import sinks
+from foliant.schemas import BOXES, HITS, SPANS
+from foliant.sources import readers, sinks
 from foliant.sources.connector import RemoteError, RemoteParser
 
 
@@ -62,6 +66,68 @@ def test_command_line(spark, tmp_path):
     assert "# Repair report" in spark.read.parquet(str(tmp_path / "out/markdown")).first().markdown
 
 
+def test_whole_chain(spark, tmp_path, monkeypatch):
+    """A file goes to the remote parser; its spans give evidence, an anchor is recovered, pages are printed."""
+    (tmp_path / "x.pdf").write_bytes(b"%PDF")
+    spans = [("layout.json", 0, 0, 0, "1.2 Meters in use", 16.0, 16, 40.0, 300.0, 200.0, 314.0), ("layout.json", 0, 1, 0, "Body of it", 10.0, 0, 40.0, 320.0, 200.0, 330.0), ("layout.json", 0, 2, 0, "and more of it", 10.0, 0, 40.0, 340.0, 200.0, 350.0)]
+    names = [c.split()[0] for c in SPANS.split(", ")]
+    (tmp_path / "spans.json").write_text("\n".join(json.dumps(dict(zip(names, r, strict=True))) for r in spans))
+    browser = tmp_path / "browser"
+    browser.write_text('#!/bin/sh\nfor a in "$@"; do case $a in --print-to-pdf=*) echo "%PDF" > "${a#--print-to-pdf=}";; esac; done\n')
+    browser.chmod(0o755)
+    monkeypatch.setattr(sinks, "BROWSERS", (str(browser),))
+    monkeypatch.setenv("PARSER_TOKEN", "t")
+    base = [str(tmp_path / "x.pdf"), "-o", str(tmp_path / "out"), "--input-kind", "remote", "--base-url", "http://s"]
+    assert cli.main(base) == 2  # nothing is sent unless that is allowed
+    with pytest.raises(SystemExit):
+        cli.main([*base, "--allow-upload", "--recover-anchors"], send=Service(["done"]))
+    chain = [*base, "--allow-upload", "--options", "model=x", "--spans", str(tmp_path / "spans.json"), "--heading-ratio", "1.2", "--recover-anchors", "--extra-lexicon", "meters", "--not-implemented", "Z1", "--pdf"]
+    assert cli.main(chain, send=Service(["done"])) == 0
+    table = lambda name: spark.read.parquet(str(tmp_path / "out" / name))
+    assert [r.raw_text for r in table("units").filter("recovery is not null").collect()] == ["1.2 Meters in use"]
+    assert {"G3R", "Z1"} <= {r.rule_id for r in table("review_items").collect()}
+    done = table("summary").first()
+    assert (done.delivery_status, done.llm_status) == ("delivered", "not_configured")
+    assert open(done.artifact).read().startswith("%PDF")
+    assert [(r.anchor, r.places, r.locations[0].page) for r in table("source_anchors").collect()] == [("1.2", 1, 0)]
+    counts = table("audit_counts").first()
+    assert (counts.g1_missing, counts.g3_missing) == (0, 0)
+    assert "## Audit summary" in table("markdown").first().markdown
+
+
+def test_rendered_artifacts(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<title>x</title><p>See 1.2 &amp; Table 3</p>")
+    (tmp_path / "b.txt").write_text("\ufeffplain 4.5")
+    got = {r.doc_id: r.text.strip() for r in readers.rendered_files(spark, str(tmp_path)).collect()}
+    assert got == {"a": "See 1.2 & Table 3", "b": "plain 4.5"}
+    expected = spark.createDataFrame([("a", "1.2"), ("a", "table 4"), ("b", "4.5")], "doc_id string, anchor string")
+    boxes = spark.createDataFrame([("b", 0, "drawing", -9.0, 0.0, 10.0, 10.0, 0.0, 0.0, 595.0, 842.0)], BOXES)
+    rendered = readers.rendered_files(spark, str(tmp_path)).unionByName(spark.createDataFrame([("c", " ")], "doc_id string, text string"))
+    lost = {(r.doc_id, r.rule_id, r.n) for r in render.post_losses(expected, rendered, boxes).collect()}
+    assert lost == {("a", "I2", 1), ("b", "I3", 1), ("c", "I1", 1)}
+    assert readers.file_hashes(spark, str(tmp_path / "b.txt")).first().doc_id == "b.txt"
+
+
+def test_grouped_locations(spark):
+    rows = [("d", "1.2", k, k // 2, f"1.2 at {k}", None, None, None, None, None, False) for k in range(5)]
+    hits = spark.createDataFrame(rows, HITS)
+    r = evidence.grouped_locations(hits, most=3).first()
+    assert (r.places, [x.hit_ord for x in r.locations]) == (5, [0, 1, 2])
+    assert {x.page: x.anchor_count for x in evidence.page_anchors(hits).collect()} == {0: 1, 1: 1, 2: 1}
+
+
+def test_decisions_bind_to_evidence_and_files(spark):
+    units = X.units(spark, None, "columns")
+    out = repairs.apply_repairs(units)
+    hits = spark.createDataFrame([("columns", "1.2", 0, 0, "1.2 x", "1.2 x", None, None, None, None, False)], HITS)
+    files = spark.createDataFrame([("columns", "ab")], "doc_id string, sha256 string")
+    plain, bound = (review.artifact_hashes(units, out, *more).first().artifacts for more in ((), (hits, files)))
+    assert set(bound) - set(plain) == {"source_pdf_audit_sha256", "source_pdf_sha256"}
+    assert bound["source_pdf_sha256"] == "ab"
+    other = review.artifact_hashes(units, out, hits.withColumn("page", F.lit(3)), files).first().artifacts
+    assert {k for k in bound if bound[k] != other[k]} == {"source_pdf_audit_sha256"}
+
+
 def test_pdf_without_browser(tmp_path):
     assert sinks.html_to_pdf("a.html", str(tmp_path / "a.pdf"), ("no-such-browser",))["status"] == "failed"
     assert (sinks.exit_code("failed"), sinks.exit_code("html_only")) == (2, 0)

@@ -152,3 +152,62 @@ def test_empty_tables(spark):
     assert repairs.apply_repairs(units).count() == 0
     assert D.review_items(units).count() == 0
     assert C.page_coverage(units, repairs.apply_repairs(units)).count() == 0
+
+
+def test_audit_counts(spark):
+    units = X.units(spark, None, "captions", "sections")
+    out = repairs.apply_repairs(units)
+    full = {r.doc_id: r.asDict() for r in C.audit_counts(units, out).collect()}
+    assert all(r["g1_missing"] == r["g2_low"] == r["g3_missing"] == r["g4_missing"] == r["g5_failed"] == 0 for r in full.values())
+    assert full["captions"]["g4_anchors"] > 0
+    some = C.audit_counts(units, out.filter("raw_text not like '%Table 4%'")).filter("doc_id = 'captions'").first()
+    assert (some.g3_missing, some.g4_missing, some.g3_anchors) == (1, 1, full["captions"]["g3_anchors"])
+
+
+def test_page_findings_agree_with_the_single_audits(spark):
+    units = X.units(spark)
+    out = repairs.apply_repairs(units).filter("seq % 3 <> 1")
+    found = C.page_findings(units, out)
+    assert {(r.doc_id, r.page) for r in found.filter("missing").collect()} == {(r.doc_id, r.page) for r in C.missing_pages(units, out).collect()}
+    key = lambda df: {(r.doc_id, r.page, r.tokens, r.covered, r.band) for r in df.collect()}
+    assert key(found.filter("tokens > 0")) == key(C.page_coverage(units, out))
+
+
+def test_lost_anchors_against_a_search(spark):
+    """Every anchor of the source searched for in every text."""
+    import random
+    import re
+
+    rng = random.Random(3)
+    parts = ["Table 9", "table  9.5", "4.2", "4.2.1", "x4.2", "Figure 3", "figure 33", "Appendix B", "10 bar", "10,5 bar", "ISO 9001", "and", ".", "see", "(4.2)", "UNI/TS 11", "92%"]
+    texts = [[" ".join(rng.choice(parts) for _ in range(rng.randint(1, 5))) for _ in range(3)] for _ in range(60)]
+    source = spark.createDataFrame([(str(d), t) for d, t in enumerate(x for a, _, _ in [tuple(v) for v in texts] for x in [a])], "doc_id string, text string")
+    output = spark.createDataFrame([(str(d), t) for d, (_, b, c) in enumerate(texts) for t in (b, c)], "doc_id string, text string")
+    for pattern in (C.P.REQUIRED_ANCHOR, C.P.CANDIDATE_ANCHOR):
+        wanted = C.document_anchors(source, pattern)
+        have = {d: [" " + " ".join(t.lower().split()) + " " for t in v[1:]] for d, v in enumerate(texts)}
+        keep = {(r.doc_id, r.anchor) for r in wanted.collect() if not any(re.search(rf"(?<![\w.]){re.escape(r.anchor)}(?![\w.])", t) for t in have[int(r.doc_id)])}
+        also = {(r.doc_id, r.anchor) for r in C.document_anchors(output, pattern).collect()}
+        assert {(r.doc_id, r.anchor) for r in C.missing_anchors(wanted, output, pattern).collect()} == keep - also
+
+
+def test_foreign_lexicon(spark):
+    units = X.units(spark, [X._unit("d", 0, 0, "text", "The meter shall zork frob before commissioning and after data checks of all parts here too", 40, 60)])
+    assert D.row_items(units, ("C3",)).count() == 0
+    assert D.row_items(units, ("C3",), S.lexicon("zork, frob")).count() in (0, 1)
+    mixed = X.units(spark, [X._unit("d", n, 0, "text", t, 40, 60 + 20 * n) for n, t in enumerate(["The meter shall zork frob before commissioning", *["plain words of the system stand here in a row"] * 6])])
+    assert D.row_items(mixed, ("C3",), S.lexicon("zork, frob")).count() == 1
+
+
+def test_corpus_audit_agrees_with_its_parts(spark, sf_dir):
+    from foliant.plans import suite
+
+    audit = run_audit(X.structured(suite.frag(spark, sf_dir), True))
+    lost = {r.doc_id for r in audit.losses.select("doc_id").collect()}
+    review_ = {r.doc_id for r in audit.items.select("doc_id").collect()}
+    status = {r.doc_id: r.status for r in audit.status.collect()}
+    assert status == {d: "review" if d in lost else "draft" if d in review_ else "final" for d in status}
+    audit.release()
+    items = suite.QUERIES["corpus_review_items"](spark, sf_dir).collect()
+    by_rule = {r.rule_id: (r.n, r.docs) for r in suite.QUERIES["corpus_findings_by_rule"](spark, sf_dir).collect()}
+    assert by_rule == {rule: (sum(r.n for r in items if r.rule_id == rule), sum(r.rule_id == rule for r in items)) for rule in {r.rule_id for r in items}}
