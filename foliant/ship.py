@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -14,6 +15,7 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if getattr(ship, "to", None) != context.applicationId:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        name = os.path.join(tempfile.mkdtemp(prefix="foliant-code-"), "foliant_code")
-        context.addPyFile(shutil.make_archive(name, "zip", top, "foliant"))
+        place = tempfile.mkdtemp(prefix="foliant-code-")  # the driver serves it from here to the executors
+        atexit.register(shutil.rmtree, place, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(os.path.join(place, "foliant_code"), "zip", top, "foliant"))
         ship.to = context.applicationId
