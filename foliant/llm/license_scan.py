@@ -28,35 +28,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import only
+from .license_texts import TEMPLATES
 
 #: Words of a shingle, the least share of a template's shingles, the most probable miss of a window.
 SIZE, CONTAINED, MISSED = 5, 0.8, 1e-4
 
-# Notices by which public licenses are declared.
-TEMPLATES = {
-    "MIT": "Released under the MIT License.",
-    "MIT-short": "This project is licensed under the MIT License.",
-    "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "GPL-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
-    "LGPL-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
-    "BSD-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "ISC-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
-}
-
 SEED = 20011
 
+#: Long words of licenses that other texts have as often.
+COMMON = frozenset(("without", "including", "provided", "purpose", "following", "granted", "permission", "particular", "program", "public", "general"))
+
 
 def words_of(text: str) -> list[str]:
     """The same words in Python, for templates and tests."""
@@ -79,7 +60,7 @@ def cover_words(templates: dict[str, str], contained: float) -> list[str]:
     out: list[str] = []
     while need:
         counts = Counter(w for name in need for w in {w for s in open_[name] for w in s.split()})
-        best = max(counts, key=lambda w: (len(w) >= 6, counts[w], len(w), w))
+        best = max(counts, key=lambda w: (len(w) >= 7 and w not in COMMON, counts[w], len(w), w))
         out.append(best)
         for name in list(need):
             covered = {s for s in open_[name] if best in s}

@@ -70,3 +70,18 @@ def test_short_notices_of_any_hash(spark):
     docs = [(i, " ".join([t, *(f"q{rng.randrange(10**6)}" for _ in range(19))])) for i, t in enumerate(notices.values())]
     got = L.license_scan(spark.createDataFrame(docs, "doc_id long, text string").repartition(8), notices).collect()
     assert {(r.doc_id, r.license) for r in got} == {(i, f"T{i}") for i in range(300)}
+
+
+def test_very_long_tokens_and_odd_rows(spark):
+    docs = [(1, "x" * 200_000), (2, f"{'y' * 200_000} {L.TEMPLATES['MIT']}"), (None, L.TEMPLATES["MIT"]), (3, "!!! ???")]
+    got = {(r.doc_id, r.license) for r in L.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {(2, "MIT")}
+
+
+def test_whole_texts_with_changes(spark):
+    """Of a license's whole text, a tenth of the words in one stretch may be others; half of it isn't the license."""
+    text = L.words_of(L.TEMPLATES["MIT-text"])
+    changed = [*text[:60], *(f"z{k}" for k in range(len(text) // 10)), *text[60 + len(text) // 10 :]]
+    docs = [(1, " ".join(text)), (2, " ".join(changed)), (3, " ".join(text[: len(text) // 2]))]
+    got = {(r.doc_id, r.license) for r in L.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {d for d, name in got if name == "MIT-text"} == {1, 2}
