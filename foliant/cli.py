@@ -2,7 +2,7 @@
 
 INPUT is parser output, units, or a file for a remote parser; the source file's own evidence,
 review decisions and a lexicon are optional. The exit code is 2 where a PDF was wanted and
-couldn't be made, or where a file may not be sent.
+couldn't be made, or where a file may not be sent, and 3 where the remote parser took too long.
 """
 
 from __future__ import annotations
@@ -47,9 +47,9 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def parsed_remotely(args: argparse.Namespace, send=None) -> tuple[str | None, str]:
+def parsed_remotely(args: argparse.Namespace, send=None, sleep=None) -> tuple[str | None, str]:
     """Folder of parser files that the service made of the input, or None and why."""
-    more = {"send": send} if send else {}
+    more = ({"send": send} if send else {}) | ({"sleep": sleep} if sleep else {})
     client = RemoteParser(args.base_url, os.environ.get(args.token_variable, ""), args.allow_upload, **more)
     got = client.signed_upload(args.input, readers.key_values(args.options))
     if got["status"] != "completed":
@@ -74,13 +74,13 @@ def evidence_of(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFram
     return hits, pages, files
 
 
-def main(argv: list[str] | None = None, send=None) -> int:
+def main(argv: list[str] | None = None, send=None, sleep=None) -> int:
     args = arguments(argv)
     if args.input_kind == "remote":
-        place, why = parsed_remotely(args, send)
+        place, why = parsed_remotely(args, send, sleep)
         if place is None:
-            print(f"blocked: {why}")
-            return 2
+            print(f"no result: {why}")
+            return 3 if why == "timeout" else 2
         args.input = place
     spark = SparkSession.builder.appName("foliant").config("spark.sql.ui.retainedExecutions", "20").config("spark.sql.maxPlanStringLength", "20000").getOrCreate()  # the plans are long
     ship(spark)

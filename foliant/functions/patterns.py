@@ -8,6 +8,7 @@ TEXT_TYPES = ("text", "para", "paragraph", "para_blocks")
 TITLE_TYPES = ("title", "heading")
 TABLE_TYPES = ("table", "table_body")
 MEDIA_TYPES = ("image", "figure", "caption", "table", "table_body")
+STRUCTURAL_TYPES = ("title", "heading", "caption", "image", "figure")
 EDGE_TYPES = ("header", "footer", "page_number")
 FOOTNOTE_TYPES = ("page_footnote", "footnote", "aside_text")
 
@@ -38,6 +39,7 @@ REQUIRED_ANCHOR = r"(?iU)\b(?:\d+(?:\.\d+)+|Table\s+\d+|Figure\s+\d+|Appendix\s+
 #: After a unit that ends in a sign the pattern wants a word's beginning, after m³ its end.
 CANDIDATE_ANCHOR = r"(?iU)\b(?:UNI(?:/[A-Z]+)?\s+\d+(?::\d+)?\b|EN\s+\d+(?::\d+)?\b|ISO\s+\d+(?::\d+)?\b|\d+(?:[.,]\d+)?\s*(?:bar\b|m3\b|m³(?![\w³])|l/h\b|%\b|s\b|ms\b|V\b|Hz\b))"
 FIGURE_TABLE_ANCHOR = r"(?iU)\b(?:Table|Figure)\s+\d+\b"
+CAPTION_START = r"(?iU)^\s*(?:Table|Figure)\s+\d+\b"
 SOURCE_ANCHOR = r"(?iU)\b(?:\d+(?:\.\d+)+|Table\s+\d+|Figure\s+\d+|Appendix\s+[A-Z]|UNI(?:/[A-Z]+)?\s+\d+|ISO\s+\d+)\b"
 #: What an anchor of several words begins with.
 ANCHOR_BEGINS = r"(?iU)^(?:table|figure|appendix|uni|en|iso|\d[\w.]*)$"

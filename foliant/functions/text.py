@@ -122,6 +122,11 @@ def anchors(text: Column, pattern: str = P.REQUIRED_ANCHOR) -> Column:
     return F.array_distinct(F.transform(_all(F.coalesce(text, F.lit("")), pattern), normalize_anchor))
 
 
+def anchors_of(values: Column, pattern: str = P.REQUIRED_ANCHOR) -> Column:
+    """Different normalised anchors of an array of texts."""
+    return F.array_distinct(F.flatten(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: anchors(v, pattern))))
+
+
 def kept_candidates(found: Column) -> Column:
     """Candidate anchors without bare standard numbers of one or two digits."""
     return F.filter(found, lambda a: ~F.rlike(a, F.lit(P.BARE_STANDARD)))
@@ -163,6 +168,12 @@ def recovery_dtype(kind: Column) -> Column:
     return F.when(kind.isin("section", "appendix"), "title").when(kind.isin("table", "figure"), "caption").otherwise("source_pdf_recovery")
 
 
+def pseudo_box(box: Column, *places: Column) -> Column:
+    """The box, else a line at the first place that is known (a height, a character, a number in order)."""
+    at = F.coalesce(*[p.cast("double") for p in places], F.lit(0.0))
+    return F.when(F.size(box) == 4, box.cast("array<double>")).otherwise(F.array(F.lit(0.0), at, F.lit(0.0), at))
+
+
 def slug(anchor: Column) -> Column:
     s = F.regexp_replace(F.regexp_replace(normalize_anchor(anchor), "[^a-z0-9]+", "-"), "^-|-$", "")
     return F.when(s == "", "anchor").otherwise(s)

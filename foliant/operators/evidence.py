@@ -88,6 +88,20 @@ def suppress_gaps(items: DataFrame, hits: DataFrame, documents: DataFrame) -> Da
     return out.withColumn("suppressed", (F.size("missing") > 0) & F.col("evidence").isNotNull() & F.col("found").isNull()).drop("key", "found", "evidence")
 
 
+def structural_text(units: DataFrame) -> DataFrame:
+    """doc_id, text: what headings, captions, pictures and tables say in a document, line by line in the order of its units.
+
+    Of a table the numbers that fill a cell, and its text if that begins as a caption does.
+    """
+    raw = F.coalesce("raw_text", F.lit(""))
+    cells = F.regexp_extract_all(raw, F.lit(P.NUMBER_CELL), F.lit(1))
+    named = F.when(F.rlike(raw, F.lit(P.CAPTION_START)), F.array(U.content())).otherwise(F.array().cast("array<string>"))
+    parts = F.when(U.is_type(P.STRUCTURAL_TYPES), F.array(U.content())).when(U.is_type(P.TABLE_TYPES), F.concat(cells, named))
+    each = units.select("doc_id", "ord", parts.alias("parts")).filter(F.size("parts") > 0)
+    lines = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", "parts"))), lambda p: p["parts"]))
+    return each.groupBy("doc_id").agg(F.array_join(lines, "\n").alias("text"))
+
+
 def recovery(units: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """G3R: units for required anchors that only the evidence has, and anchors without a usable line.
 

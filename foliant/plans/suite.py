@@ -611,6 +611,19 @@ def corpus_row_findings(spark, sf_dir):
     return R.findings_by_rule(D.row_items(_structured(spark, sf_dir, False), ("A3", "A4", "C1", "D2", "D4", "E3")))
 
 
+@query(rf"WITH {_TABLED}, p AS (SELECT doc_id, ord, CASE WHEN dtype = 'table' THEN regexp_extract_all(raw_text, '<td[^>]*>\s*(\d+(?:\.\d+)+)\s*</td>', 1) ELSE [lower({SQUEEZE.format(t='raw_text')})] END AS x FROM u WHERE dtype IN ('title', 'caption', 'table')) SELECT doc_id, string_agg(array_to_string(x, chr(10)), chr(10) ORDER BY ord) AS text FROM p WHERE len(x) > 0 GROUP BY doc_id")
+def corpus_structural_text(spark, sf_dir):
+    """P18 over documents with tables."""
+    return E.structural_text(X.structured(frag(spark, sf_dir), True))
+
+
+@query(rf"WITH {_STRUCTURED}, a AS (SELECT DISTINCT doc_id, lower({SQUEEZE.format(t='a')}) AS anchor FROM (SELECT doc_id, unnest(regexp_extract_all(raw_text, '{REQUIRED}')) AS a FROM u)) SELECT doc_id, array_to_string(list_sort(list(anchor)), ',') AS anchors FROM a GROUP BY doc_id")
+def corpus_anchors_of_values(spark, sf_dir):
+    """The anchors of all blocks of a document as one set."""
+    values = _structured(spark, sf_dir).groupBy("doc_id").agg(F.collect_list("raw_text").alias("v"))
+    return values.select("doc_id", F.array_join(F.array_sort(T.anchors_of(F.col("v"))), ",").alias("anchors")).filter("anchors <> ''")
+
+
 @query()
 def corpus_review_items(spark, sf_dir):
     """All detectors over structured documents, by document and rule; each rule has its SQL in a query of its own."""

@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
 from ..functions import patterns as P
 from ..functions import text as T
-from ..schemas import DECISION_DOCS, DECISIONS, UNITS
+from ..schemas import DECISIONS, DECISION_DOCS, OUTPUT_BLOCKS, UNITS
 from ..ship import ship
 
 _PAGES = "array<struct<page_idx:int,page_size:array<double>,para_blocks:array<string>,discarded_blocks:array<string>>>"
@@ -87,6 +87,11 @@ def read_units(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(UNITS).json(path)
 
 
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Output blocks of repaired documents as JSON lines; columns that a file lacks are null."""
+    return spark.read.schema(OUTPUT_BLOCKS).json(path)
+
+
 def read_decisions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Review decisions (one JSON document a line): decision documents, decisions."""
     raw = spark.read.schema(f"{DECISION_DOCS}, decisions array<struct<action:string,review_item_id:string,rule_id:string,source_refs:array<string>,unit_ids:array<string>,reason:string,match_reason:string>>").json(path)

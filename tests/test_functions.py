@@ -69,3 +69,17 @@ def test_coverage_is_a_multiset(spark):
     assert (r.tokens, r.covered) == (len(tokens(a)), want)
     assert C.coverage(frame(a), frame(a), ("k",)).first().ratio == 1.0
     assert C.coverage(frame(""), frame(a), ("k",)).count() == 0
+
+
+def test_pseudo_boxes(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0], 7.0, 9), (None, 7.0, 9), ([1.0], None, 9), (None, None, None)], "b array<double>, y double, n int")
+    got = [r.x for r in df.select(T.pseudo_box(F.col("b"), F.col("y"), F.col("n")).alias("x")).collect()]
+    assert got == [[1.0, 2.0, 3.0, 4.0], [0.0, 7.0, 0.0, 7.0], [0.0, 9.0, 0.0, 9.0], [0.0, 0.0, 0.0, 0.0]]
+
+
+def test_table_with_caption_is_structural(spark):
+    from foliant.operators import evidence as E
+    from foliant.plans import fixtures as X
+
+    rows = [X._unit("d", 0, 0, "text", "1.1 no heading", 40, 60), X._unit("d", 1, 0, "table", "Table 4 of <td> 2.5 </td>", 40, 90), X._unit("d", 2, 0, "figure", "A picture", 40, 120)]
+    assert E.structural_text(X.units(spark, rows)).first().text.split("\n") == ["2.5", "Table 4 of <td> 2.5 </td>", "A picture"]

@@ -79,6 +79,7 @@ def test_whole_chain(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("PARSER_TOKEN", "t")
     base = [str(tmp_path / "x.pdf"), "-o", str(tmp_path / "out"), "--input-kind", "remote", "--base-url", "http://s"]
     assert cli.main(base) == 2  # nothing is sent unless that is allowed
+    assert cli.main([*base, "--allow-upload"], send=Service(["running"] * 60), sleep=lambda s: None) == 3
     with pytest.raises(SystemExit):
         cli.main([*base, "--allow-upload", "--recover-anchors"], send=Service(["done"]))
     chain = [*base, "--allow-upload", "--options", "model=x", "--spans", str(tmp_path / "spans.json"), "--heading-ratio", "1.2", "--recover-anchors", "--extra-lexicon", "meters", "--not-implemented", "Z1", "--pdf"]
