@@ -34,7 +34,7 @@ LEAST_TOKENS, LEAST_SHARE = 13, 0.8
 #: A benchmark of up to so many tokens is sent to every task; a larger one is joined.
 SENT_TOKENS = 500_000
 #: Tokens that one step of a task handles, and tokens that are compared at once.
-STEP, CELLS = 400_000, 2_000_000
+STEP, CELLS = 200_000, 500_000
 #: Joined benchmarks: tokens of a part of a document, and parts that each seed is dealt to.
 PART, SALTS = 4096, 8
 SCHEMA = "doc_id bigint, item_id bigint, matched bigint, aligned bigint, doc_start bigint, item_start bigint"

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +35,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship(spark)
     model = spark.sparkContext.broadcast(train(docs, table(spark, sf_dir, "labels")))
 
-    @F.pandas_udf("boolean")
-    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    at = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
-        for text in texts:
-            yield pd.Series([scorer.score(t) < 0.5 for t in text], dtype=bool)
+        for batch in batches:
+            yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
-    return docs.filter(clean(F.col("text")))
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
