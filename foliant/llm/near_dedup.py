@@ -47,6 +47,8 @@ ROUNDS = (16, 0)
 SENT_IDS = 1_000_000
 #: Buckets up to SMALL documents are paired by a join; members of an open bucket's block.
 SMALL, BLOCK = 16, 1024
+#: Words that a numbering for exact tests holds before another one begins.
+MOST_WORDS = 200_000
 #: Parts that a bucket's documents are dealt to in joins.
 PARTS = 16
 SEED = 20240607
@@ -148,27 +150,55 @@ def _long(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), *columns], ["node", "n_shingles", "sig", "keys"])
 
 
-def shingle_set(text: str | None, size: int) -> frozenset:
-    words = lower_words(text)
-    size = min(size, len(words))
-    return frozenset(zip(*(words[k:] for k in range(size)))) if words else frozenset()
+class Numbered:
+    """Shingles as sorted arrays over one numbering of words: exact, and a few bytes a word however long a text is.
+
+    ``tidy``, between two tests, begins a new numbering when ``MOST_WORDS`` are given; sets of the old one are void then.
+    """
+
+    def __init__(self, size: int) -> None:
+        self.size, self.numbers, self.age = size, {}, 0
+
+    def tidy(self) -> None:
+        if len(self.numbers) > MOST_WORDS:
+            self.numbers, self.age = {}, self.age + 1
+
+    def __call__(self, text: str | None) -> tuple[int, np.ndarray]:
+        """Words of a shingle (all, if there are fewer) and the different shingles."""
+        numbers = self.numbers
+        words = lower_words(text)
+        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
+        width = min(self.size, len(ids))
+        if not width:
+            return 0, np.empty(0, np.int64)
+        rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(ids, width))
+        kind = np.dtype(np.int32 if width == 1 else np.int64 if width == 2 else f"V{4 * width}")
+        return width, np.unique(rows.view(kind).ravel())
+
+
+def similar(x: tuple[int, np.ndarray], y: tuple[int, np.ndarray], percent: int) -> bool:
+    """Are two sets of one numbering similar enough?"""
+    both = len(np.intersect1d(x[1], y[1], assume_unique=True)) if x[0] == y[0] else 0
+    return 100 * both >= percent * (len(x[1]) + len(y[1]) - both)
 
 
 def _verified(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Of pairs a, b with both texts: those whose shingle sets are similar enough."""
-    last: dict[int, tuple] = {0: (None, None), 1: (None, None)}
+    numbered = Numbered(size)
+    last: list[tuple] = [(None, None, None), (None, None, None)]
 
-    def known(side: int, node: int, text: str) -> frozenset:
-        if last[side][0] != node:
-            last[side] = node, shingle_set(text, size)
-        return last[side][1]
+    def known(side: int, node: int, text: str) -> tuple[int, np.ndarray]:
+        if last[side][:2] != (node, numbered.age):
+            last[side] = node, numbered.age, numbered(text)
+        return last[side][2]
 
     for batch in batches:
         keep = []
-        for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            s, t = known(0, a, x), known(1, b, y)
-            both = len(s & t)
-            keep.append(100 * both >= percent * (len(s) + len(t) - both))
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            for a, b, x, y in zip(*(part.column(k).to_pylist() for k in range(4)), strict=True):
+                numbered.tidy()
+                keep.append(similar(known(0, a, x), known(1, b, y), percent))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 

@@ -7,8 +7,14 @@ from foliant.llm import near_dedup as N
 from foliant.llm.components import components
 
 
+def shingle_set(text, size):
+    words = N.lower_words(text)
+    size = min(size, len(words))
+    return frozenset(zip(*(words[k:] for k in range(size)))) if words else frozenset()
+
+
 def brute(docs, size, percent=80):
-    sets = [(i, N.shingle_set(t, size)) for i, t in docs]
+    sets = [(i, shingle_set(t, size)) for i, t in docs]
     root = {i: i for i, _ in sets}
 
     def find(x):
@@ -110,3 +116,21 @@ def test_very_long_word_and_blank_rows(spark):
 
 def test_components_of_null_links(spark):
     assert components(spark.createDataFrame([(None, 1), (1, None), (None, None)], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5])
+def test_numbered_shingles_are_the_sets(monkeypatch, size):
+    rng = random.Random(size)
+    texts = [" ".join(rng.choice("abcdE") * rng.randint(1, 2) for _ in range(rng.choice([0, 1, 2, 4, 9, 30]))) for _ in range(40)]
+    numbered = N.Numbered(size)
+    for x in texts:
+        for y in texts:
+            s, t = shingle_set(x, size), shingle_set(y, size)
+            assert len(numbered(x)[1]) == len(s)
+            assert N.similar(numbered(x), numbered(y), 60) == (100 * len(s & t) >= 60 * len(s | t))
+    # new numberings on the way change nothing
+    monkeypatch.setattr(N, "MOST_WORDS", 3)
+    rows = [(i, j, x, y) for i, x in enumerate(texts) for j, y in enumerate(texts)]
+    batch = N.pa.RecordBatch.from_arrays([N.pa.array(c) for c in zip(*rows, strict=True)], ["a", "b", "x", "y"])
+    got = {(r["a"], r["b"]) for out in N._verified(iter([batch]), size, 80) for r in out.to_pylist()}
+    assert got == {(i, j) for i, j, x, y in rows if 100 * len(shingle_set(x, size) & shingle_set(y, size)) >= 80 * len(shingle_set(x, size) | shingle_set(y, size))}
