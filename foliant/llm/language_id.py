@@ -31,6 +31,8 @@ LONGEST = 16
 PRIOR = 0.05
 #: Cached words of a worker, and words that one step handles.
 CACHE, STEP = 300_000, 20_000
+#: Letters of a word at most; longer runs are no words of a language.
+LONG_WORD = 256
 #: Texts of so many words or more keep their evidence a word, so that scores stay below one.
 TEMPERED = 30
 
@@ -41,13 +43,18 @@ MARK = "▁"
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters (Unicode's L categories) in lower case: fractions, circled and Roman numerals are none."""
+    """Runs of letters (Unicode's L categories) in lower case: fractions, circled and Roman numerals are none.
+
+    Runs of more than ``LONG_WORD`` letters are taken as words of that length, one after the other.
+    """
     if not text:
         return []
     runs = _RUNS(text.lower())
-    if text.isascii():
-        return runs
-    return [w for run in runs for w in ((run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
+    if not text.isascii():
+        runs = [w for run in runs for w in ((run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
+    if max(map(len, runs), default=0) > LONG_WORD:
+        runs = [w[i : i + LONG_WORD] for w in runs for i in range(0, len(w), LONG_WORD)]
+    return runs
 
 
 class Pieces:

@@ -70,6 +70,7 @@ def test_every_piece_is_found(vocab):
 def test_only_letters_are_words():
     assert G.words_of("½ ² ① Ⅷ 12 _") == []
     assert G.words_of("x²y Straße½ ÉTÉ 漢字") == ["x", "y", "straße", "été", "漢字"]
+    assert [len(w) for w in G.words_of("a " + "b" * 600)] == [1, 256, 256, 88]
 
 
 def test_texts_without_letters_and_a_very_long_word(spark):
