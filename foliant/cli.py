@@ -31,6 +31,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     source.add_argument("--source-pdf", help="the PDF files themselves; needs the optional PDF library")
     source.add_argument("--hits", help="JSON lines of anchors' places")
     source.add_argument("--spans", help="JSON lines of text spans, from which places are made")
+    source.add_argument("--page-texts", help="JSON lines of pages' texts (doc_id, page, text), for anchors that no span shows")
     source.add_argument("--heading-ratio", type=float, help="a line with a font so many times the page's counts as a heading")
     source.add_argument("--pages", help="JSON lines of pages")
     source.add_argument("--recover-anchors", action="store_true", help="take lines of missing anchors in as units for review")
@@ -64,13 +65,18 @@ def evidence_of(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFram
     hits = spark.read.schema(HITS).json(args.hits) if args.hits else None
     pages = spark.read.schema(PAGES).json(args.pages) if args.pages else None
     spans = spark.read.schema(SPANS).json(args.spans) if args.spans else None
+    texts = spark.read.schema("doc_id string, page int, text string").json(args.page_texts) if args.page_texts else None
     files = None
     if args.source_pdf:
         files = readers.file_hashes(spark, args.source_pdf).select("doc_id", "sha256")
         pages = pdf.read_pages(spark, args.source_pdf) if pages is None else pages
+        texts = pdf.read_page_texts(spark, args.source_pdf) if texts is None else texts
         spans = pdf.read_spans(spark, args.source_pdf) if spans is None and hits is None else spans
     if hits is None and spans is not None:
         hits = readers.anchor_hits(readers.span_lines(spans), args.heading_ratio)
+    if texts is not None:
+        pages = readers.text_pages(texts) if pages is None else pages
+        hits = readers.page_hits(texts, hits if hits is not None else spark.createDataFrame([], HITS))
     return hits, pages, files
 
 

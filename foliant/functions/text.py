@@ -168,6 +168,35 @@ def recovery_dtype(kind: Column) -> Column:
     return F.when(kind.isin("section", "appendix"), "title").when(kind.isin("table", "figure"), "caption").otherwise("source_pdf_recovery")
 
 
+def char_count(text: Column) -> Column:
+    """Characters that aren't white space."""
+    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", ""))
+
+
+def snippet_for(text: Column, start: Column, end: Column, radius: int = 80) -> Column:
+    """Squeezed text around places counted from 0."""
+    low = F.greatest(F.lit(0), start - radius)
+    return squeezed(F.substr(text, low + 1, end + radius - low))
+
+
+def found_with_snippets(text: Column, pattern: str, radius: int = 80) -> Column:
+    """(anchor, snippet) of every match. A match stands behind all gaps and matches before it, which splitting gives."""
+    text = F.coalesce(text, F.lit(""))
+
+    def placed(m: Column) -> Column:
+        gaps = F.transform(F.split(text, pattern, -1), F.length)
+        sizes = F.transform(m, F.length)
+        total = lambda a: F.aggregate(a, F.lit(0), lambda x, n: x + n)
+
+        def one(found: Column, k: Column) -> Column:
+            start = total(F.slice(gaps, 1, k + 1)) + total(F.slice(sizes, 1, k))
+            return F.struct(normalize_anchor(found).alias("anchor"), snippet_for(text, start, start + F.length(found), radius).alias("snippet"))
+
+        return F.transform(m, one)
+
+    return let(_all(text, pattern), placed)
+
+
 def pseudo_box(box: Column, *places: Column) -> Column:
     """The box, else a line at the first place that is known (a height, a character, a number in order)."""
     at = F.coalesce(*[p.cast("double") for p in places], F.lit(0.0))

@@ -617,6 +617,30 @@ def corpus_structural_text(spark, sf_dir):
     return E.structural_text(X.structured(frag(spark, sf_dir), True))
 
 
+SOURCE = r"(?i)\b(?:\d+(?:\.\d+)+|Table\s+\d+|Figure\s+\d+|Appendix\s+[A-Z]|UNI(?:/[A-Z]+)?\s+\d+|ISO\s+\d+)\b"
+_PAGE_TEXTS = f"{_STRUCTURED}, pt AS (SELECT doc_id, page, string_agg(lower({SQUEEZE.format(t='raw_text')}), chr(10) ORDER BY ord) AS text FROM u GROUP BY doc_id, page)"
+
+
+@query(f"WITH {_PAGE_TEXTS}, m AS (SELECT *, regexp_extract_all(text, '{SOURCE}') AS m, list_transform(string_split_regex(text, '{SOURCE}'), lambda x: length(x)) AS g FROM pt), e AS (SELECT *, unnest(range(0, len(m))) AS nth FROM m), p AS (SELECT *, coalesce(list_sum(g[1:nth + 1]), 0) + coalesce(list_sum(list_transform(m[1:nth], lambda x: length(x))), 0) AS a, m[nth + 1] AS found FROM e) SELECT doc_id, page, nth, lower({SQUEEZE.format(t='found')}) AS anchor, {SQUEEZE.format(t='substr(text, CAST(greatest(0, a - 80) + 1 AS BIGINT), CAST(a + length(found) + 80 - greatest(0, a - 80) AS BIGINT))')} AS snippet FROM p")
+def corpus_anchor_snippets(spark, sf_dir):
+    """Anchors in the texts of pages with what stands around them."""
+    found = S.anchor_snippets(C.source_pages(_structured(spark, sf_dir)))
+    return found.select("doc_id", F.col("page").cast("bigint").alias("page"), F.col("nth").cast("bigint").alias("nth"), "anchor", "snippet")
+
+
+@query(f"WITH {_PAGE_TEXTS} SELECT doc_id, page, length(regexp_replace(text, '\\s+', '', 'g')) AS text_chars FROM pt")
+def corpus_text_pages(spark, sf_dir):
+    """Pages of which only the text is known."""
+    return S.text_pages(C.source_pages(_structured(spark, sf_dir))).select("doc_id", F.col("page").cast("bigint").alias("page"), "text_chars")
+
+
+@query(f"WITH {_PAGE_TEXTS}, a AS (SELECT doc_id, page, unnest(regexp_extract_all(text, '{SOURCE}')) AS a FROM pt) SELECT doc_id, page, count(DISTINCT lower({SQUEEZE.format(t='a')})) AS anchor_count FROM a GROUP BY doc_id, page")
+def corpus_page_anchors(spark, sf_dir):
+    """AG5: how many different anchors a page has."""
+    texts = C.source_pages(_structured(spark, sf_dir))
+    return E.page_anchors(S.anchor_snippets(texts)).select("doc_id", F.col("page").cast("bigint").alias("page"), "anchor_count")
+
+
 @query(rf"WITH {_STRUCTURED}, a AS (SELECT DISTINCT doc_id, lower({SQUEEZE.format(t='a')}) AS anchor FROM (SELECT doc_id, unnest(regexp_extract_all(raw_text, '{REQUIRED}')) AS a FROM u)) SELECT doc_id, array_to_string(list_sort(list(anchor)), ',') AS anchors FROM a GROUP BY doc_id")
 def corpus_anchors_of_values(spark, sf_dir):
     """The anchors of all blocks of a document as one set."""

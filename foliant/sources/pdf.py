@@ -45,12 +45,25 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
                     images = [r for i in page.get_images(full=True) for r in page.get_image_rects(i[0])]
                     drawings = [d["rect"] for d in page.get_drawings() if d.get("rect")]
                     large = [sum(r.width * r.height >= SIGNIFICANT * area for r in rects) for rects in (images, drawings)]
-                    rows.append((doc_id, n, len((page.get_text("text") or "").strip()), len(page.get_images(full=True)), len(drawings), *large))
+                    rows.append((doc_id, n, len("".join((page.get_text("text") or "").split())), len(page.get_images(full=True)), len(drawings), *large))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PAGES.split(", ")])
 
     return _files(spark, path).mapInPandas(run, PAGES)
 
 
+def read_page_texts(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, page, text of every page."""
+    _library()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fitz = _library()
+        for batch in batches:
+            rows = [(doc_id, n, page.get_text("text") or "") for doc_id, content in zip(batch.doc_id, batch.content, strict=True) for n, page in enumerate(fitz.open(stream=content, filetype="pdf"))]
+            yield pd.DataFrame(rows, columns=["doc_id", "page", "text"])
+
+    return _files(spark, path).mapInPandas(run, "doc_id string, page int, text string")
+
+
 def read_spans(spark: SparkSession, path: str) -> DataFrame:
     """Spans of text with font and box (schemas.SPANS); see ``readers.span_lines``."""
     _library()

@@ -158,6 +158,28 @@ def anchor_hits(lines: DataFrame, heading_ratio: float | None = None) -> DataFra
     return each.select("doc_id", "anchor", nth.alias("hit_ord"), "page", F.col("line_text").alias("snippet"), "line_text", "x0", "y0", "x1", "y1", F.coalesce("heading_like", F.lit(False)).alias("heading_like"))
 
 
+def anchor_snippets(texts: DataFrame) -> DataFrame:
+    """doc_id, page, nth, anchor, snippet: every anchor in texts of pages (doc_id, page, text), with the text around it."""
+    each = texts.select("doc_id", "page", F.posexplode(T.found_with_snippets(F.col("text"), P.SOURCE_ANCHOR)).alias("nth", "f"))
+    return each.select("doc_id", "page", "nth", "f.anchor", "f.snippet")
+
+
+def text_pages(texts: DataFrame) -> DataFrame:
+    """Evidence of pages (schemas.PAGES) of which only the text is known."""
+    none = [F.lit(0).alias("image_count"), F.lit(0).alias("drawing_count"), F.lit(None).cast("int").alias("significant_image_count"), F.lit(None).cast("int").alias("significant_drawing_count")]
+    return texts.select("doc_id", "page", T.char_count(F.col("text")).cast("bigint").alias("text_chars"), *none)
+
+
+def page_hits(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    """``hits`` of lines, and places in pages' texts of anchors that no line of the page has; numbered anew."""
+    more = anchor_snippets(texts).join(hits.select("doc_id", "page", "anchor").distinct(), ["doc_id", "page", "anchor"], "left_anti")
+    blank = [F.lit(None).cast("string").alias("line_text"), *[F.lit(None).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")], F.lit(False).alias("heading_like")]
+    columns = ["doc_id", "anchor", "page", "snippet", "line_text", "x0", "y0", "x1", "y1", "heading_like"]
+    both = hits.select(*columns, F.lit(0).alias("kind"), F.col("hit_ord").alias("at")).unionByName(more.select("doc_id", "anchor", "page", "snippet", *blank, F.lit(1).alias("kind"), F.col("nth").alias("at")))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "anchor").orderBy("page", "kind", "at")) - 1
+    return both.select("doc_id", "anchor", nth.alias("hit_ord"), *columns[2:])
+
+
 class _Data(HTMLParser):
     def __init__(self) -> None:
         super().__init__()

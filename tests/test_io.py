@@ -117,6 +117,16 @@ def test_grouped_locations(spark):
     assert {x.page: x.anchor_count for x in evidence.page_anchors(hits).collect()} == {0: 1, 1: 1, 2: 1}
 
 
+def test_anchors_outside_lines(spark):
+    text = "x" * 100 + " see  Table 3\nand 1.2 here " + "y" * 100
+    texts = spark.createDataFrame([("d", 0, text), ("d", 1, "1.2 again"), ("d", 2, None)], "doc_id string, page int, text string")
+    hits = spark.createDataFrame([("d", "1.2", 0, 0, "1.2 here", "1.2 here", 1.0, 2.0, 3.0, 4.0, True)], HITS)
+    got = {(r.anchor, r.hit_ord): (r.page, r.snippet, r.line_text) for r in readers.page_hits(texts, hits).collect()}
+    around = " ".join(text[max(0, text.index("Table") - 80) : text.index("Table") + 7 + 80].split())
+    assert got == {("1.2", 0): (0, "1.2 here", "1.2 here"), ("1.2", 1): (1, "1.2 again", None), ("table 3", 0): (0, around, None)}
+    assert {r.page: r.text_chars for r in readers.text_pages(texts).collect()} == {0: len("".join(text.split())), 1: 8, 2: 0}
+
+
 def test_decisions_bind_to_evidence_and_files(spark):
     units = X.units(spark, None, "columns")
     out = repairs.apply_repairs(units)
