@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from .common import Generations, only
 
 #: Entries of a worker's cache of pre-tokens.
-CACHE = 1_200_000
+CACHE = 700_000
 #: Longer pre-tokens aren't kept in the cache.
 CACHED_CHARS = 64
 

@@ -115,4 +115,4 @@ class Generations(dict):
 
 
 #: 64-bit hashes of words, kept by each Python worker.
-WORD_HASHES = Generations(xxhash.xxh3_64_intdigest, 200_000)
+WORD_HASHES = Generations(xxhash.xxh3_64_intdigest, 100_000)

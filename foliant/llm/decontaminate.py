@@ -42,7 +42,7 @@ SCHEMA = "doc_id bigint, item_id bigint, matched bigint, aligned bigint, doc_sta
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _FILTER_BITS = 22
 _TOKENS = re.compile(r"\w+").findall
-_HASHES = Generations(xxhash.xxh3_64_intdigest, 150_000)
+_HASHES = Generations(xxhash.xxh3_64_intdigest, 100_000)
 
 
 def tokens(text: str | None) -> np.ndarray:
