@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Generations, only
+from .common import Generations, only, slices
 
 #: Entries of a worker's cache of pre-tokens.
 CACHE = 700_000
@@ -161,7 +161,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(*_default(path, pattern))
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.frombuffer(tok.encode(t), "<i4") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -173,7 +173,7 @@ def decode_documents(tokens: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(*_default(path, None))
-        for batch in batches:
+        for batch in slices(batches):
             texts = [tok.decode(np.array(ids or (), "<u4").tobytes()) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "bytes"])
 
@@ -189,7 +189,7 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(*_default(path, pattern))
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 ids = tok.encode(text)

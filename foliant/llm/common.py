@@ -89,6 +89,13 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % F.lit(folds), F.lit(0)).cast("int")
 
 
+def slices(batches, rows: int = 512):
+    """Batches in parts, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def lower_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8, A-Z in lower case.
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Generations, materialise, only
+from .common import Generations, materialise, only, slices
 
 #: Which tokens of a window are compared (fixed values).
 MASKS = ("1101011", "11100101", "110010011", "1010110001", "11111")
@@ -201,7 +201,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _sent(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         ids, docs, held = [], [], 0
         texts = batch.column(1).to_pylist()
         for k, (i, text) in enumerate(zip(batch.column(0).to_pylist(), texts, strict=True)):

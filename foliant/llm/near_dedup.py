@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_HASHES, discard, lower_words, materialise, only
+from .common import WORD_HASHES, discard, lower_words, materialise, only, slices
 from .components import components
 
 #: Places on the circle, coordinates, bands. At 0.8 a pair shares no band of four
@@ -105,7 +105,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         counts, texts, sigs = [], [], []
         for text in batch.column(1).to_pylist():
             words = lower_words(text)

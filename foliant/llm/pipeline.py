@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import discard, materialise, ship, table
+from .common import discard, materialise, ship, slices, table
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .near_dedup import near_dedup
@@ -39,7 +39,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)
