@@ -3,6 +3,8 @@
 Java patterns carry ``(?U)`` so that ``\\s``, ``\\d``, ``\\w`` and ``\\b`` know Unicode.
 """
 
+import re
+
 # --- Fixed values that results depend on -------------------------------------------------
 TEXT_TYPES = ("text", "para", "paragraph", "para_blocks")
 TITLE_TYPES = ("title", "heading")
@@ -75,3 +77,30 @@ OTHER_TABLE = r"(?iU)\b(?:point|diagnostics?|activation|anomal(?:y|ies)|rif|refe
 DEFINITION_TABLE = r"(?iU)\b(?:term|terms|definition|definitions|abbreviation|abbreviations)\b"
 STATE_WORD = r"(?iU)^(?:no|not|when|if|after|before|immediate|delayed|open|closed|active|inactive)\b"
 # --- End of fixed values -----------------------------------------------------------------
+
+
+_SQL_WORD = "0-9A-Za-z_"
+_SQL_CLASSES = {r"\d": "0-9", r"\s": r"\t\n\f\r ", r"\w": _SQL_WORD}
+#: Signs beyond ASCII that (?i) of DuckDB takes for a letter.
+_SQL_FOLDED = {"s": "ſ", "k": "\u212a"}
+
+
+def as_sql(pattern: str) -> str:
+    """A pattern of DuckDB for Java: there ``\\s``, ``\\d``, ``\\w`` and ``\\b`` know ASCII only, and ``(?i)`` simple folding."""
+    folds = pattern.startswith("(?i)")
+
+    def part(m: re.Match) -> str:
+        x = m[0]
+        if x == r"\b":
+            return f"(?:(?<=[{_SQL_WORD}])(?![{_SQL_WORD}])|(?<![{_SQL_WORD}])(?=[{_SQL_WORD}]))"
+        if x == "$":
+            return r"\z"
+        if x[0] == "[":
+            for name, signs in _SQL_CLASSES.items():
+                x = x.replace(name, signs)
+            return x.replace("A-Z", "A-Za-z" + "".join(_SQL_FOLDED.values())) if folds else x
+        if x[0] == "\\":
+            return f"[{_SQL_CLASSES[x]}]" if x in _SQL_CLASSES else x
+        return f"[{x.upper()}{x.lower()}{_SQL_FOLDED.get(x.lower(), '')}]" if folds else x
+
+    return re.sub(r"\\.|\[[^\]]*\]|\$|[A-Za-z]", part, pattern.removeprefix("(?i)"))
