@@ -323,12 +323,15 @@ def suspicious_unit(number: Column, unit: Column) -> Column:
     return F.rlike(unit, F.lit("[A-Za-z]")) & ~F.contains(number, F.lit(".")) & ~large & ~low.isin(*P.KNOWN_UNITS, *P.NON_UNIT_WORDS) & ~F.startswith(low, F.lit("m3")) & ~capital & (F.length(unit) <= 4)
 
 
-def first_suspicious(text: Column) -> Column:
+def number_unit_pairs(text: Column, pattern: str = P.NUMBER_AND_UNIT) -> Column:
+    """(n, u) of each number with its unit."""
+    return let(text, lambda t: F.arrays_zip(_all(t, pattern, 1).alias("n"), _all(t, pattern, 2).alias("u")))
+
+
+def first_suspicious(text: Column, pairs=number_unit_pairs) -> Column:
     """The first suspicious number with its unit, else null."""
-    t = F.coalesce(text, F.lit(""))
-    pairs = F.arrays_zip(_all(t, P.NUMBER_AND_UNIT, 1).alias("n"), _all(t, P.NUMBER_AND_UNIT, 2).alias("u"))
-    bad = F.filter(pairs, lambda p: suspicious_unit(p["n"], p["u"]))
-    return F.when(F.size(bad) > 0, F.concat_ws(" ", bad[0]["n"], bad[0]["u"]))
+    found = F.filter(pairs(F.coalesce(text, F.lit(""))), lambda p: suspicious_unit(p["n"], p["u"]))
+    return let(found, lambda bad: F.when(F.size(bad) > 0, F.concat_ws(" ", bad[0]["n"], bad[0]["u"])))
 
 
 def code_line(text: Column) -> Column:
