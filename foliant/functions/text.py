@@ -148,11 +148,15 @@ def anchor_present(anchor: Column, text: Column) -> Column:
     return (a != "") & F.rlike(F.concat(F.lit(" "), normalize_anchor(text), F.lit(" ")), F.concat(F.lit(r"(?U)(?<![\w.])"), quoted(a), F.lit(r"(?![\w.])")))
 
 
+def tokens(text: Column) -> Column:
+    """Lower-case runs of digits and Latin letters; hyphens and slashes part words."""
+    return _all(F.lower(F.translate(text, "-/", "  ")), "[0-9a-zÀ-ɏ]+")
+
+
 def canonical_tokens(text: Column, decode: bool = True) -> Column:
-    """Lower-case runs of digits and Latin letters, without tags; hyphens and slashes part words."""
+    """``tokens`` of the decoded text without tags."""
     t = decoded(text) if decode else F.coalesce(text, F.lit(""))
-    t = F.regexp_replace(t, r"(?U)</?\s*[A-Za-z][A-Za-z0-9:-]*(?:\s+[^<>]*?)?>", " ")
-    return _all(F.lower(F.translate(t, "-/", "  ")), "[0-9a-zÀ-ɏ]+")
+    return tokens(F.regexp_replace(t, r"(?U)</?\s*[A-Za-z][A-Za-z0-9:-]*(?:\s+[^<>]*?)?>", " "))
 
 
 def recovery_kind(anchor: Column) -> Column:
@@ -331,7 +335,8 @@ def number_unit_pairs(text: Column, pattern: str = P.NUMBER_AND_UNIT) -> Column:
 def first_suspicious(text: Column, pairs=number_unit_pairs) -> Column:
     """The first suspicious number with its unit, else null."""
     found = F.filter(pairs(F.coalesce(text, F.lit(""))), lambda p: suspicious_unit(p["n"], p["u"]))
-    return let(found, lambda bad: F.when(F.size(bad) > 0, F.concat_ws(" ", bad[0]["n"], bad[0]["u"])))
+    first = let(found, lambda bad: F.when(F.size(bad) > 0, F.concat_ws(" ", bad[0]["n"], bad[0]["u"])))
+    return F.when(F.rlike(text, F.lit(r"(?U)\d")), first)
 
 
 def code_line(text: Column) -> Column:
