@@ -9,11 +9,10 @@ of the same context, predict it. All words beyond the lexicon share a leaf and f
 with their smoothed relative frequency there. Each part sums to one, so every token has a
 normalised probability.
 
-Training documents are dealt to replicas by a hash of their ids and texts; the corpus alone
-says how many there are, so scores don't depend on how tables are cut or tasks scheduled.
-Each replica trains the class model from the same start by noise-contrastive estimation in
-numpy, a draw for every fourth of its tokens; the parameters are averaged by tokens. In a second
-pass each replica trains the words' vectors over all its tokens beside that class model
+The class model is trained by noise-contrastive estimation on the counts of all triples of
+classes, each step over all of them. Training documents are dealt to replicas by a hash of
+their ids and texts; the corpus alone says how many there are, so scores don't depend on how
+tables are cut or tasks scheduled. In one pass each replica trains the words' vectors over all its tokens beside that class model
 (contexts by noise-contrastive estimation of the class and by the tree's decisions); these
 are averaged by occurrences. Contexts of two frequent words are a
 look into tables of scores and normalisers; the others are reckoned token by token.
@@ -37,8 +36,8 @@ from .common import discard, fold, lower_words, materialise, only
 CLASSES = 64
 #: Length of a class's vector.
 WIDTH = 16
-#: Noise samples and drawn tokens of a step; least steps of a replica, and its tokens for each draw.
-NOISE, BATCH, STEPS, DRAWN = 64, 1024, 400, 4
+#: Noise samples for a token; steps of the class model, each over all tokens.
+NOISE, STEPS = 64, 600
 RATE = 0.4
 #: Tokens of a replica; of a corpus with more than MOST_REPLICAS of these, each is larger.
 REPLICA_TOKENS, MOST_REPLICAS = 8_000_000, 4096
@@ -46,8 +45,6 @@ REPLICA_TOKENS, MOST_REPLICAS = 8_000_000, 4096
 SENT_WORDS = 200_000
 #: Different words that a task counts before it hands them on.
 HELD_WORDS = 400_000
-#: Tokens that a replica of the class model holds to draw from.
-HELD_TOKENS = 262_144
 #: Tokens of a step of the words' training and of scoring, and the rate of these steps.
 WORD_BATCH, WORD_RATE = 16_384, 0.1
 SEED = 7
@@ -236,35 +233,48 @@ def _by_number(numbers: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
 
 
 class ClassTrainer:
-    """Trains a class model from its start by noise-contrastive steps."""
+    """Trains a class model from its start by noise-contrastive steps over counts; the noise enters by its expectation."""
 
     def __init__(self, unigram: np.ndarray) -> None:
-        self.unigram, self.rng = unigram, np.random.default_rng(SEED)
         self.weights = tuple(x.copy() for x in start(unigram))
         self.past = [np.full(x.shape, 1e-2) for x in self.weights]  # sums of squares, for the rate of each parameter
-        self.log_noise, self.noise_share = np.log(NOISE * unigram), np.cumsum(unigram)
+        self.noise = NOISE * unigram
 
     def step(self, codes: np.ndarray) -> None:
         """Observed tokens as (two before, one before, token)."""
+        self.learn(*seen_contexts(np.bincount(codes, minlength=CLASSES**3)), 1)
+
+    def learn(self, contexts: np.ndarray, counts: np.ndarray, steps: int) -> None:
+        """contexts: (two before, one before); counts: of the token after each."""
         r, one, two, b = self.weights
-        far, near, word = codes // CLASSES**2, codes // CLASSES % CLASSES, codes % CLASSES
-        noise = np.minimum(np.searchsorted(self.noise_share, self.rng.random(NOISE)), CLASSES - 1)
-        q = r[near] @ one + r[far] @ two
-        seen = 1 / (1 + np.exp(-((q * r[word]).sum(axis=1) + b[word] - self.log_noise[word]))) - 1
-        false = 1 / (1 + np.exp(-(q @ r[noise].T + b[noise] - self.log_noise[noise])))
-        dq = seen[:, None] * r[word] + false @ r[noise]
-        by = np.concatenate([word, noise, near, far])
-        dr = _by_number(by, np.concatenate([seen[:, None] * q, false.T @ q, dq @ one.T, dq @ two.T]), CLASSES)
-        db = np.bincount(by[: len(codes) + NOISE], np.concatenate([seen, false.sum(axis=0)]), CLASSES)
-        for x, sq, d in zip(self.weights, self.past, (dr, r[near].T @ dq, r[far].T @ dq, db), strict=True):
-            d = d / len(codes)
-            sq += d * d
-            x -= RATE * d / np.sqrt(sq)
+        far, near = contexts // CLASSES, contexts % CLASSES
+        total = max(1.0, counts.sum())
+        seen = (counts / total).astype(np.float32)
+        noise = (seen.sum(axis=1, keepdims=True) * self.noise).astype(np.float32)
+        both, log_noise = seen + noise, np.log(self.noise)
+        for _ in range(steps):
+            x, y = r[near], r[far]
+            q = x @ one + y @ two
+            s = (q @ r.T + (b - log_noise)).astype(np.float32)
+            np.clip(s, -60, 60, out=s)
+            ds = both / (1 + np.exp(-s)) - seen
+            dq = ds @ r
+            dr = ds.T @ q + _by_number(near, dq @ one.T, CLASSES) + _by_number(far, dq @ two.T, CLASSES)
+            for p, sq, d in zip(self.weights, self.past, (dr, x.T @ dq, y.T @ dq, ds.sum(axis=0)), strict=True):
+                sq += d * d
+                p -= RATE * d / np.sqrt(sq)
 
     def result(self) -> Weights:
         return Weights(*self.weights)
 
 
+def seen_contexts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts that occur, and for each how often every class follows."""
+    table = counts.reshape(CLASSES**2, CLASSES)
+    held = np.flatnonzero(table.any(axis=1))
+    return held, table[held]
+
+
 class Tables(NamedTuple):
     """Natural log scores by the token one and two before, biases, and log normalisers by both."""
 
@@ -447,35 +457,6 @@ def _by_replica(batches: Iterator[pa.RecordBatch], begin) -> Iterator[pa.RecordB
         yield from trainer.finish()
 
 
-class ClassReplica:
-    """Trains the class model on every ``DRAWN``-th token, drawn from stretches of ``HELD_TOKENS``; on each more often if there are few."""
-
-    def __init__(self, lex: Lexicon) -> None:
-        self.lex, self.trainer, self.rng = lex, ClassTrainer(lex.unigram), np.random.default_rng(SEED)
-        self.held, self.tokens, self.fresh, self.steps = [], 0, 0, 0
-
-    def add(self, places: np.ndarray) -> None:
-        c = np.concatenate([[0, 0], self.lex.classes[places]])
-        self.held.append((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:])
-        self.tokens += len(places)
-        self.fresh += len(places)
-        if self.fresh >= HELD_TOKENS:
-            self._learn(self.fresh // (DRAWN * BATCH))
-
-    def _learn(self, steps: int) -> None:
-        codes = np.concatenate(self.held)
-        for _ in range(steps):
-            self.trainer.step(codes[self.rng.integers(0, len(codes), BATCH)])
-        self.steps += steps
-        self.held, self.fresh = [], 0
-
-    def finish(self) -> Iterator[pa.RecordBatch]:
-        if self.held:
-            self._learn(max(self.fresh // (DRAWN * BATCH), STEPS - self.steps))
-        flat = self.trainer.result().flat()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * self.tokens), pa.array(np.full(len(flat), float(self.tokens)))], ["k", "x", "w"])
-
-
 class WordReplica:
     """Trains the words' vectors text by text."""
 
@@ -511,17 +492,30 @@ class WordReplica:
 _COLUMNS = [f"x{j}" for j in range(WIDTH + 1)]
 
 
-def train(tokens: DataFrame, lexicon) -> Weights:
-    """Trains the class model on the replicas of ``tokens`` (``dealt``); averaged by tokens."""
+def class_counts(tokens: DataFrame, lexicon) -> np.ndarray:
+    """How often each class follows each two, over all ``tokens``: sums over a fixed table, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _by_replica(batches, lambda: ClassReplica(lexicon.value))
+        counts, classes = np.zeros(CLASSES**3, np.int64), lexicon.value.classes
+        for batch in batches:
+            for places in batch.column(0).to_pylist():
+                c = np.concatenate([[0, 0], classes[np.frombuffer(places, np.int32)]])
+                codes, n = np.unique((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], return_counts=True)
+                counts[codes] += n
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["code", "n"])
+
+    rows = tokens.select("places").mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(CLASSES**3, np.int64)
+    counts[rows.column("code").to_numpy()] = rows.column("n").to_numpy()
+    return counts
 
-    rows = tokens.mapInArrow(run, "k bigint, x double, w double").groupBy("k").agg((F.sum("x") / F.sum("w")).alias("x"))
-    flat = start(lexicon.value.unigram).flat()
-    for r in rows.collect():  # one row a parameter
-        flat[r.k] = r.x
-    return Weights.of(flat)
+
+def train(tokens: DataFrame, lexicon) -> Weights:
+    """Trains the class model on the counts of all ``tokens``."""
+    trainer = ClassTrainer(lexicon.value.unigram)
+    trainer.learn(*seen_contexts(class_counts(tokens, lexicon)), STEPS)
+    return trainer.result()
 
 
 def train_words(tokens: DataFrame, lexicon, weights: Weights) -> Words:
@@ -617,7 +611,7 @@ def lm_score(docs: DataFrame, sent_words: int = SENT_WORDS) -> DataFrame:
     lexicon = spark.sparkContext.broadcast(Lexicon(top, total, different))
     replicas = replicas_for(total)
     tokens = materialise(encoded(training, lexicon, replicas), "lm-tokens")
-    words = train_words(dealt(tokens, replicas), lexicon, train(dealt(tokens, replicas), lexicon))
+    words = train_words(dealt(tokens, replicas), lexicon, train(tokens, lexicon))
     discard(tokens)
     model = spark.sparkContext.broadcast((words.w, words.u, words.v, words.bias))
     scored = rows.mapInArrow(lambda b: _scored(b, lexicon.value, Words.of(lexicon.value, *model.value)), "doc_id bigint, n_tokens bigint, n_sent bigint, base double, model double, others array<struct<word:binary,n:int>>")
