@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import Generations, fold, materialise, only, slices
 
-#: Labelled rows that the model is fitted on, chosen by a hash of their ids.
-SAMPLE_ROWS = 20_000
+#: Up to so many labels are sent to every task; more are joined.
+SENT_LABELS = 2_000_000
 #: A feature is kept if so many toxic documents have it, with so many nats of evidence.
 LEAST_TOXIC, LEAST_EVIDENCE, MOST_FEATURES = 4, 9.0, 5_000
 PREFIXES = (4, 5, 6)
@@ -244,32 +244,44 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["gram", "weight"])
 
 
-def _curve(evidence: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Slopes (none falls) and offset of a logistic curve, by Newton steps with a weak prior."""
-    scale = np.array([ENOUGH, DENSE, ENOUGH, 1.0])
-    x = np.column_stack([evidence, np.ones(len(evidence))]) / scale
+def _newton(batches: Iterator[pa.RecordBatch], w: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sums of a Newton step at ``w`` over rows (evidence, density, most, toxic, n): the curvature, then the gradient."""
+    sums = np.zeros(20)
+    for batch in batches:
+        *evidence, toxic, n = (c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns)
+        x = np.column_stack([*evidence, np.ones(len(n))]) / _SCALE
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        sums += np.concatenate([((x * (n * p * (1 - p))[:, None]).T @ x).ravel(), x.T @ (n * (toxic - p))])
+    yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+
+_SCALE = np.array([ENOUGH, DENSE, ENOUGH, 1.0])
+
+
+def _curve(found: DataFrame) -> np.ndarray:
+    """Slopes (none falls) and offset of a logistic curve, by Newton steps with a weak prior; only sums come to the driver."""
     w = np.zeros(4)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(4), x.T @ (toxic - p) - 0.01 * w)
+        parts = found.mapInArrow(lambda b, w=w: _newton(b, w), "sums array<double>").collect()
+        sums = np.sum([r.sums for r in parts], axis=0) if parts else np.zeros(20)
+        step = np.linalg.solve(sums[:16].reshape(4, 4) + 0.01 * np.eye(4), sums[16:] - 0.01 * w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
-    return np.maximum(w / scale, [0, 0, 0, -50])
+    return np.maximum(w / _SCALE, [0, 0, 0, -50])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fits on about ``sample_rows`` labelled documents of folds 1 to 4.
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fits on all labelled documents of folds 1 to 4.
 
     Rows with a null label, id or text teach nothing; a document with several labels is
     toxic if one of them says so. Without toxic documents every score is the base rate.
     """
     spark = docs.sparkSession
     marks = only(labels, doc_id="bigint", toxic="int").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    share = min(1.0, sample_rows / max(1, marks.count()))
-    marks = marks.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = only(docs, doc_id="bigint", text="string").filter("text is not null").join(F.broadcast(marks), "doc_id").select("text", "toxic")
-    rows = materialise(rows, "toxicity-sample")  # about sample_rows documents
+    marks = F.broadcast(marks) if marks.count() <= SENT_LABELS else marks
+    rows = only(docs, doc_id="bigint", text="string").filter("text is not null").join(marks, "doc_id").select("text", "toxic")
+    rows = materialise(rows, "toxicity-labelled")
     n = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, other = n.get(1, 0), n.get(0, 0)
     counted = materialise(rows.mapInArrow(_counted, "feature string, toxic bigint, other bigint").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "toxicity-features")
@@ -295,8 +307,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             got = [scorer.evidence(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.float64()), batch.column(1)], ["evidence", "density", "most", "toxic"])
 
-    found = rows.mapInArrow(evident, "evidence double, density double, most double, toxic int").collect()  # four numbers for each row of the sample
-    return model._replace(curve=_curve(np.array([r[:3] for r in found], float).reshape(-1, 3), np.array([r.toxic for r in found], float)))
+    found = rows.mapInArrow(evident, "evidence double, density double, most double, toxic int")
+    # most texts have no evidence, so equal rows are counted first
+    found = materialise(found.groupBy("evidence", "density", "most", "toxic").agg(F.count("*").alias("n")), "toxicity-evidence")
+    return model._replace(curve=_curve(found))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -317,6 +331,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``train`` and ``score`` over the same documents."""
-    return score(docs, train(docs, labels, sample_rows))
+    return score(docs, train(docs, labels))
