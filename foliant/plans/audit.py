@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -105,6 +107,26 @@ def run_audit(units: DataFrame, hits: DataFrame | None = None, pages: DataFrame
     return Audit(units, output, disposed, repairs.findings(output), open_items, loss, C.document_status(units, [loss], [open_items]), threshold, rejected, live)
 
 
+def status_in_parts(units_of: Callable[[int], DataFrame], parts: int) -> DataFrame:
+    """``run_audit(...).status`` of all documents, part by part: ``units_of(k)`` has all units of the documents of part k.
+
+    A document's status depends on that document only. What a part keeps and shuffles is let
+    go before the next one begins, so the disk in use is that of one part at any size; only
+    the statuses stay, in the session's checkpoint folder where there is one.
+    """
+    done: list[DataFrame] = []
+    for k in range(parts):
+        audit = run_audit(units_of(k))
+        spark = audit.status.sparkSession
+        reliable = spark.sparkContext.getCheckpointDir() is not None
+        done.append(audit.status.checkpoint() if reliable else audit.status.localCheckpoint())
+        audit.release()
+        del audit
+        gc.collect()
+        spark._jvm.System.gc()  # shuffle files go with the plans that they belong to
+    return reduce(DataFrame.unionByName, done)
+
+
 def rendered_losses(audit: Audit, rendered: DataFrame | None = None, boxes: DataFrame | None = None) -> DataFrame:
     """doc_id, rule_id, reason, n: what is lost in rendered texts (doc_id, text) and drawn boxes; without texts in the HTML made here."""
     if rendered is None:
