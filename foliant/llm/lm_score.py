@@ -21,16 +21,17 @@ look into tables of scores and normalisers; the others are reckoned token by tok
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, fold, lower_words, materialise, only
+from .common import discard, fold, materialise, only, slices
 
 #: Classes: 0 is the end of a text, the last one is for all words without their own.
 CLASSES = 64
@@ -45,28 +46,51 @@ REPLICA_TOKENS, MOST_REPLICAS = 8_000_000, 4096
 SENT_WORDS = 200_000
 #: Different words that a task counts before it hands them on.
 HELD_WORDS = 400_000
+#: Texts that are cut into words together.
+TEXTS = 1024
 #: Tokens of a step of the words' training and of scoring, and the rate of these steps.
 WORD_BATCH, WORD_RATE = 16_384, 0.1
+#: Tokens that are held for full steps.
+HELD_TOKENS = 8 * WORD_BATCH
+#: Rows of a product over all classes or a block of the tree, few enough for a processor's cache.
+ROWS = 4096
 SEED = 7
 
 END = b""
 
 
+def arrow_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts behind each other, as ``lower_words`` has them, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten().cast(pa.binary())
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    real = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+    sums = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    n = sums[ends[1:]] - sums[ends[:-1]]
+    return words if sums[-1] == len(words) else words.filter(real), n
+
+
+def _released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same; then what Arrow keeps for later goes back, as the worker lives on."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    held: list[pa.Table] = []
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
-        counts.clear()
-        return out
+    def summed() -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"}).select(["word", "c"])
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(lower_words(text))
-            counts[END] += 1
-            if len(counts) > HELD_WORDS:
-                yield flush()
-    yield flush()
+    for batch in slices(batches, TEXTS):
+        words, n = arrow_words(batch.column(0))
+        held += [pa.table(words.value_counts().flatten(), ["word", "c"]), pa.table({"word": [END], "c": [len(n)]})]
+        if sum(map(len, held)) > 2 * HELD_WORDS:
+            held = [summed()]
+            if len(held[0]) > HELD_WORDS:
+                yield from held.pop().to_batches()
+    if held:
+        yield from summed().to_batches()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -74,13 +98,36 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     Each task sums its own counts, and the shuffle sums those, so no word is hot.
     """
-    return only(docs, text="string").mapInArrow(_counted, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    return only(docs, text="string").mapInArrow(lambda b: _released(_counted(b)), "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+#: Levels of the tree that are decided together, as products of matrices: those of the root, then those of each node below.
+BLOCK = 6
+#: Nodes of a block stand in columns level by level, from left to right; the last column is for no decision.
+WIDE, NO_TURN = 1 << BLOCK, (1 << BLOCK) - 1
+
+
+def _block_paths() -> tuple[np.ndarray, np.ndarray]:
+    """By level and by path (its length times WIDE, and its turns as bits): the columns, and 1 for a turn to the right."""
+    columns, turns = np.full((BLOCK, (BLOCK + 1) * WIDE), NO_TURN), np.zeros((BLOCK, (BLOCK + 1) * WIDE), np.float32)
+    for length in range(1, BLOCK + 1):
+        code = np.arange(1 << length)
+        for level in range(length):
+            columns[level, length * WIDE + code] = (1 << level) - 1 + (code >> (length - level))
+            turns[level, length * WIDE + code] = code >> (length - 1 - level) & 1
+    return columns, turns
+
+
+COLUMNS, TURNS = _block_paths()
+#: By path and column: 1 if the path has a decision there.
+DECIDES = np.stack([np.isin(np.arange(WIDE), x) & (np.arange(WIDE) != NO_TURN) for x in COLUMNS.T]).astype(float)
 
 
 class Tree(NamedTuple):
     """Paths of leaves: those of leaf k are ``start[k]`` to ``start[k + 1]`` of node and right.
 
-    place: of leaves in the order of the tree; bias: of nodes, by mass.
+    place: of leaves in the order of the tree; bias: of nodes, by mass; first, then: of leaves, their
+    paths in the root's block and in the one below; nodes: by block and column, 0 where there is none.
     """
 
     start: np.ndarray
@@ -88,26 +135,41 @@ class Tree(NamedTuple):
     right: np.ndarray
     place: np.ndarray
     bias: np.ndarray
+    first: np.ndarray
+    then: np.ndarray
+    nodes: np.ndarray
 
-    def levels(self, leaves: np.ndarray) -> Iterator[tuple[np.ndarray | slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Level by level for leaves sorted by place: which of them go on, the level's nodes, where each begins, for how many, the turns.
+    def blocks(self, leaves: np.ndarray) -> Iterator[tuple[np.ndarray | slice, list[tuple[int, int, int]], np.ndarray]]:
+        """For leaves sorted by place: which of them have decisions in a block, each block with its slice of these, and their paths in it.
 
-        Leaves of a node are neighbours, so sums over them are sums over slices.
+        For ROWS leaves at a time, first the root's block, then all blocks below it.
         """
-        first, last = self.start[leaves], self.start[leaves + 1]
-        which: np.ndarray | slice = slice(None)  # all, as long as that holds
-        at = first.copy()
-        while True:
-            on = at < last
-            if not on.all():
-                which = np.flatnonzero(on) if isinstance(which, slice) else which[on]
-                at, last = at[on], last[on]
-            if not len(at):
-                return
-            node = self.node[at]
-            begins = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-            yield which, node[begins], begins, np.diff(begins, append=len(at)), self.right[at]
-            at += 1
+        for start in range(0, len(leaves), ROWS):
+            part = leaves[start : start + ROWS]
+            first = self.first.take(part)
+            yield slice(start, start + len(part)), [(0, 0, len(part))], first
+            on = np.flatnonzero(self.then.take(part) >= WIDE)
+            if len(on):
+                block = first[on] % WIDE + 1
+                begins = np.flatnonzero(np.diff(block, prepend=0))
+                yield start + on, list(zip(block[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(on)], strict=True)), self.then.take(part[on])
+
+    def levels(self, leaves: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Below the blocks: which leaves go on, those of long paths first; and for each level its nodes and turns for the first of these."""
+        which = np.flatnonzero(self.then.take(leaves) >= BLOCK * WIDE)
+        at, end = self.start.take(leaves[which]) + 2 * BLOCK, self.start.take(leaves[which] + 1)
+        more = end - at
+        by_length = np.argsort(-more.astype(np.int16), kind="stable")
+        which, at = which[by_length], at[by_length]
+        sizes = [n for n in (len(more) - np.cumsum(np.bincount(more))).tolist() if n]
+        return which, [(self.node[at[:n] + level], self.right[at[:n] + level]) for level, n in enumerate(sizes)]
+
+    def weights(self, v: np.ndarray) -> np.ndarray:
+        """By block and column: the vector of the node; without a decision, one that goes left for sure."""
+        out = v.take(self.nodes, axis=0)
+        out[:, NO_TURN] = 0
+        out[:, NO_TURN, -1] = -30
+        return out
 
 
 def tree(mass: np.ndarray, order: np.ndarray) -> Tree:
@@ -127,38 +189,57 @@ def tree(mass: np.ndarray, order: np.ndarray) -> Tree:
     start = np.concatenate([[0], np.cumsum(np.bincount(leaf, minlength=size))])
     place = np.empty(size, np.int64)
     place[order] = np.arange(size)
-    return Tree(start, node[at].astype(np.int32), right[at].astype(bool), place, bias.astype(np.float32))
+    node, right, paths, nodes = node[at].astype(np.int32), right[at].astype(bool), [], np.zeros((1 + WIDE, WIDE), np.int32)
+    for above in (0, BLOCK):
+        length, code = np.clip(np.diff(start) - above, 0, BLOCK), np.zeros(size, np.int64)
+        for level in range(BLOCK):
+            on = np.flatnonzero(length > level)
+            code[on] = 2 * code[on] + right[start[on] + above + level]
+        paths.append((length * WIDE + code).astype(np.int16))
+        for level in range(BLOCK):
+            on = np.flatnonzero(length > level)
+            nodes[paths[0][on] % WIDE + 1 if above else 0, COLUMNS[level, paths[-1][on]]] = node[start[on] + above + level]
+    return Tree(start, node, right, place, bias.astype(np.float32), *paths, nodes)
+
+
+def _logits(context: np.ndarray, weights: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+    """Each row of context (with a one at its end) times all columns of its block."""
+    out = np.empty((len(context), WIDE), np.float32)
+    for block, i, j in parts:
+        np.dot(context[i:j], weights[block].T, out=out[i:j])
+    return out
 
 
-#: Up to so many nodes of a level are taken one by one, as products of matrices.
-FEW = 32
+#: So many of the longest slices are summed one by one.
+LONG = 8
 
 
-def _products(rows: np.ndarray, v: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Each row times the vector of its node; v: one vector for each of the slices."""
-    if len(v) > FEW:
-        return np.einsum("ij,ij->i", rows, np.repeat(v, counts, axis=0))
-    out = np.empty(len(rows), np.float32)
-    for x, i, n in zip(v, begins.tolist(), counts.tolist(), strict=True):
-        np.dot(rows[i : i + n], x, out=out[i : i + n])
-    return out
+def _slices(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the slices of equal numbers begin in sorted ids, and their lengths; the longest first."""
+    begins = np.flatnonzero(np.diff(ids, prepend=-1))
+    counts = np.diff(begins, append=len(ids))
+    by_length = np.argsort(-np.minimum(counts, 32_767).astype(np.int16), kind="stable")
+    return begins[by_length], counts[by_length]
 
 
-def _spread(off: np.ndarray, v: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """For each row, its number times the vector of its node."""
-    if len(v) > FEW:
-        return np.repeat(v, counts, axis=0) * off[:, None]
-    out = np.empty((len(off), v.shape[1]), np.float32)
-    for x, i, n in zip(v, begins.tolist(), counts.tolist(), strict=True):
-        np.multiply(off[i : i + n, None], x, out=out[i : i + n])
+def _sums(rows: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each slice, the longest first, the sum of its rows: first rows, second rows and so on, as most slices are short."""
+    out, n = rows.take(begins, axis=0), 1
+    while (more := np.count_nonzero(counts > n)) > LONG:
+        counts = counts[:more]
+        out[:more] += rows.take(begins[:more] + n, axis=0)
+        n += 1
+    for k in range(more):
+        out[k] += rows[begins[k] + n : begins[k] + counts[k]].sum(axis=0)
     return out
 
 
-def _sums(off: np.ndarray, rows: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """For each slice, the sum of its rows times their numbers."""
-    if len(begins) > FEW:
-        return np.add.reduceat(rows * off[:, None], begins, axis=0)
-    return np.stack([off[i : i + n] @ rows[i : i + n] for i, n in zip(begins.tolist(), counts.tolist(), strict=True)])
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Lexicon:
@@ -178,6 +259,7 @@ class Lexicon:
         self.total, self.different = total, different
         inner = rows[CLASSES - 1 :]
         self.inner = len(inner)
+        self.numbered = np.concatenate([np.full(len(own), self.inner + 1), np.arange(self.inner + 1)])
         unsent = max(0, total - sum(c for _, c in rows)) + 0.5 * (max(0, different - len(rows)) + 1)
         #: log10 of what the base score and the words without a place divide by
         self.log_all = math.log10(total + 0.5 * (different + 1))
@@ -192,13 +274,11 @@ class Lexicon:
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """With the end of the text; -1 for words without a place."""
-        get = self.place.get
-        return np.array([get(w, -1) for w in words] + [self.place.get(END, -1)], np.int64)
+        return np.fromiter(map(self.place.get, chain(words, (END,)), repeat(-1)), np.int32, len(words) + 1)
 
     def numbers(self, places: np.ndarray) -> np.ndarray:
         """Numbers in the last class, see above."""
-        own = (places >= 0) & (places < CLASSES - 1)
-        return np.where(own, self.inner + 1, np.where(places < 0, self.inner, places - CLASSES + 1))
+        return self.numbered.take(places)
 
 
 class Weights(NamedTuple):
@@ -304,72 +384,95 @@ class Words:
     """The vectors of the words of the last class beside a class model.
 
     u: what a word adds to its class's vector in a context; v: vectors of the tree's
-    nodes; bias: of the nodes. They start at the frequencies.
+    nodes, each with its bias at the end. They start at the frequencies.
     """
 
-    def __init__(self, lex: Lexicon, w: Weights) -> None:
+    def __init__(self, lex: Lexicon, w: Weights, u: np.ndarray | None = None, v: np.ndarray | None = None) -> None:
         self.lex, self.w = lex, Weights(*(x.astype(np.float32) for x in w))
         self.tables = tables(w)
-        self.scores = np.vstack([self.w.r.T, self.w.b])
-        self.u = np.zeros((lex.inner + 2, WIDTH), np.float32)
-        self.v = np.zeros((lex.inner + 1, WIDTH), np.float32)
-        self.bias = lex.tree.bias.copy()
-
-    @classmethod
-    def of(cls, lex: Lexicon, w: Weights, u: np.ndarray, v: np.ndarray, bias: np.ndarray) -> Words:
-        out = cls(lex, w)
-        out.u, out.v, out.bias = u, v, bias
-        return out
-
-    def context(self, places: np.ndarray) -> np.ndarray:
-        """For places of tokens after the places of the two before them: what predicts each of places[2:]."""
-        lex, (r, one, two, _) = self.lex, self.w
-        x = r.take(lex.classes[places], axis=0) + self.u.take(lex.numbers(places), axis=0)
-        return x[1:-1] @ one + x[:-2] @ two
+        self.u = np.zeros((lex.inner + 2, WIDTH), np.float32) if u is None else u
+        self.v = np.column_stack([np.zeros((lex.inner + 1, WIDTH), np.float32), lex.tree.bias]) if v is None else v
+
+    def context(self, classes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """For tokens after the two before them: what predicts each but the first two."""
+        r, one, two, _ = self.w
+        x = r.take(classes, axis=0)
+        x += self.u.take(numbers, axis=0)
+        q = x[1:-1] @ one
+        q += x[:-2] @ two
+        return q
+
+    def deep(self, q: np.ndarray, rows: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of q that go down the tree and their leaves, by the place of the leaf; and their contexts with a one at the end."""
+        by_place = np.argsort(self.lex.tree.place.take(leaves))
+        rows, leaves = rows[by_place], leaves[by_place]
+        context = np.ones((len(rows), WIDTH + 1), np.float32)
+        context[:, :-1] = q.take(rows, axis=0)
+        return rows, leaves, context
 
     def log_probabilities(self, places: np.ndarray) -> np.ndarray:
         """Natural logs for places[2:]; words without a place get what all of them have together."""
         lex, t = self.lex, self.tables
-        nodes = np.column_stack([self.v, self.bias])
+        weights = lex.tree.weights(self.v)
         out = np.empty(len(places) - 2)
         for i in range(0, len(out), WORD_BATCH):
             part = places[i : i + WORD_BATCH + 2]
-            c, k = lex.classes[part], lex.numbers(part)
-            far, near, word = c[:-2], c[1:-1], c[2:]
-            q = self.context(part)
-            got = t.near[near, word] + t.far[far, word] + t.b[word] - t.log_z[far, near]
-            more = np.flatnonzero((k[1:-1] <= lex.inner) | (k[:-2] <= lex.inner))
-            s = np.column_stack([q[more], np.ones(len(more), np.float32)]) @ self.scores
-            chosen = s[np.arange(len(more)), word[more]].astype(float)
-            top = 0.0
-            if len(more) and np.abs(s).max() > 60:  # exp would overflow
-                top = s.max(axis=1)
-                s -= top[:, None]
-            got[more] = chosen - top - np.log(np.exp(s, out=s) @ np.ones(CLASSES, np.float32))
+            c, k = lex.classes.take(part), lex.numbers(part)
+            word = c[2:]
+            q = self.context(c, k)
+            got = np.empty(len(q))
+            inner = (k[1:-1] <= lex.inner) | (k[:-2] <= lex.inner)
+            known = np.flatnonzero(~inner)
+            far, near, known_word = c[known], c[known + 1], word[known]
+            got[known] = t.near[near, known_word] + t.far[far, known_word] + t.b[known_word] - t.log_z[far, near]
+            more = np.flatnonzero(inner)
+            for j in range(0, len(more), ROWS):
+                rows = more[j : j + ROWS]
+                s = q.take(rows, axis=0) @ self.w.r.T
+                s += self.w.b
+                chosen = s[np.arange(len(rows)), word[rows]].astype(float)
+                top = 0.0
+                if max(s.max(), -s.min()) > 60:  # exp would overflow
+                    top = s.max(axis=1)
+                    s -= top[:, None]
+                got[rows] = chosen - top - np.log(np.exp(s, out=s) @ np.ones(CLASSES, np.float32))
             deep = np.flatnonzero(word == CLASSES - 1)
-            leaves = k[2:][deep]
-            by_place = np.argsort(lex.tree.place[leaves])
-            deep, leaves = deep[by_place], leaves[by_place]
-            context, logs, p = np.column_stack([q[deep], np.ones(len(deep), np.float32)]), np.zeros(len(deep)), np.ones(len(deep))
-            for level, (which, node, begins, counts, right) in enumerate(lex.tree.levels(leaves)):
-                x = _products(context[which], nodes[node], begins, counts)
+            deep, leaves, context = self.deep(q, deep, k[2:][deep])
+            logs = np.zeros(len(deep))
+            for rows, parts, paths in lex.tree.blocks(leaves):
+                at = COLUMNS.take(paths, axis=1) + np.arange(0, len(paths) * WIDE, WIDE)
+                x = _logits(context[rows], weights, parts).ravel().take(at)
+                x *= 1 - 2 * TURNS.take(paths, axis=1)
+                logs[rows] -= np.log(_one_and_exp(x).prod(axis=0, dtype=float))
+            which, levels = lex.tree.levels(leaves)
+            rest, p = context.take(which, axis=0), np.ones(len(which))
+            for level, (node, right) in enumerate(levels):
+                x = np.einsum("ij,ij->i", rest[: len(node)], self.v.take(node, axis=0))
                 np.negative(x, out=x, where=right)
-                np.clip(x, -30, 30, out=x)
-                p[which] /= 1 + np.exp(x)
-                if level % 8 == 7:  # products of eight stay far from zero
-                    logs, p = logs + np.log(p), np.ones(len(p))
-            got[deep] += logs + np.log(p)
+                p[: len(node)] *= _one_and_exp(x)
+                if level % 8 == 7:  # products of eight stay far from infinity
+                    logs[which], p = logs[which] - np.log(p), np.ones(len(p))
+            logs[which] -= np.log(p)
+            got[deep] += logs
             out[i : i + WORD_BATCH] = got
         return out
 
 
+def _one_and_exp(x: np.ndarray) -> np.ndarray:
+    """In place, for x within bounds."""
+    np.clip(x, -30, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return x
+
+
 class WordTrainer(Words):
     """Trains u and v by steps whose rate falls for each parameter; seen: occurrences of each row."""
 
     def __init__(self, lex: Lexicon, w: Weights) -> None:
         super().__init__(lex, w)
         self.rng = np.random.default_rng(SEED)
-        self.past = [np.ones(x.shape, np.float32) for x in (self.u, self.v, self.bias)]
+        self.past = [np.ones(x.shape, np.float32) for x in (self.u, self.v)]
         self.seen = [np.zeros(len(x), np.int64) for x in (self.u, self.v)]
         self.noise_share = np.cumsum(lex.unigram)
         self.log_noise = np.log(NOISE * lex.unigram).astype(np.float32)
@@ -377,40 +480,93 @@ class WordTrainer(Words):
     def step(self, places: np.ndarray, real: np.ndarray) -> None:
         """places[2:][real] are the tokens to learn."""
         lex, (r, one, two, b) = self.lex, self.w
-        k = lex.numbers(places)
-        word = lex.classes[places[2:]][real]
-        q = self.context(places)[real]
-        near, far, own = k[1:-1][real], k[:-2][real], k[2:][real]
-        noise = np.minimum(np.searchsorted(self.noise_share, self.rng.random(NOISE)), CLASSES - 1)
-        seen = 1 / (1 + np.exp(-((q * r[word]).sum(axis=1) + b[word] - self.log_noise[word]))) - 1
-        false = 1 / (1 + np.exp(-(q @ r[noise].T + b[noise] - self.log_noise[noise])))
-        dq = seen[:, None] * r[word] + false @ r[noise]
-        deep = np.flatnonzero(word == CLASSES - 1)
-        by_place = np.argsort(lex.tree.place[own[deep]])
-        deep = deep[by_place]
-        context, back = q[deep], np.zeros((len(deep), WIDTH), np.float32)
-        for which, nodes, begins, counts, right in lex.tree.levels(own[deep]):
-            v, c = self.v[nodes], context[which]
-            off = 1 / (1 + np.exp(-(_products(c, v, begins, counts) + np.repeat(self.bias[nodes], counts)))) - right.astype(np.float32)
-            back[which] += _spread(off, v, begins, counts)
-            self.seen[1][nodes] += counts
-            self._slide(self.v, self.past[1], nodes, _sums(off, c, begins, counts))
-            self._slide(self.bias, self.past[2], nodes, np.add.reduceat(off, begins))
-        dq[deep] += back
-        ids, d = np.concatenate([near, far]), np.concatenate([dq @ one.T, dq @ two.T])
-        inner = np.flatnonzero(ids <= lex.inner)
+        c, k = lex.classes.take(places), lex.numbers(places)
+        word, q = c[2:], self.context(c, k)
+        beside = b - self.log_noise
+        noise, drawn = np.unique(np.minimum(np.searchsorted(self.noise_share, self.rng.random(NOISE)), CLASSES - 1), return_counts=True)
+        false = q @ r[noise].T
+        false += beside[noise]
+        _sigmoid(false)
+        dq = false @ (r[noise] * drawn[:, None].astype(np.float32))
+        rows = r.take(word, axis=0)
+        rows *= (_sigmoid(np.einsum("ij,ij->i", q, rows) + beside.take(word)) - 1)[:, None]
+        dq += rows
+        dq[~real] = 0
+        deep = np.flatnonzero((word == CLASSES - 1) & real)
+        deep, leaves, context = self.deep(q, deep, k[2:][deep])
+        dq[deep] += self._learn_tree(leaves, context)
+        # each position counts as the one before the next token and as the last but one of the token after that
+        d, uses = np.zeros((len(k) - 1, WIDTH), np.float32), np.zeros(len(k) - 1, np.int64)
+        d[1:] = dq @ one.T
+        d[:-1] += dq @ two.T
+        uses[1:] = real
+        uses[:-1] += real
+        inner = np.flatnonzero((k[:-1] <= lex.inner) & (uses > 0))
         if len(inner):
-            inner = inner[np.argsort(ids[inner])]
-            ids = ids[inner]
-            begins = np.flatnonzero(np.diff(ids, prepend=-1))
-            self.seen[0][ids[begins]] += np.diff(begins, append=len(ids))
-            self._slide(self.u, self.past[0], ids[begins], np.add.reduceat(d[inner], begins, axis=0).astype(np.float32))
+            inner = inner[np.argsort(k[inner])]
+            ids = k[inner]
+            begins, counts = _slices(ids)
+            np.add.at(self.seen[0], ids, uses[inner])
+            self._slide(self.u, self.past[0], ids[begins], _sums(d.take(inner, axis=0), begins, counts))
+
+    def _learn_tree(self, leaves: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """A step of the nodes on the paths; gives the slopes of the contexts."""
+        tree, back = self.lex.tree, np.zeros((len(leaves), WIDTH), np.float32)
+        weights = tree.weights(self.v)
+        slopes, seen = np.zeros(weights.shape, np.float32), np.zeros((len(tree.nodes), len(DECIDES)))
+        for rows, parts, paths in tree.blocks(leaves):
+            part, at = context[rows], COLUMNS.take(paths, axis=1)
+            at += np.arange(0, len(paths) * WIDE, WIDE)
+            off = _sigmoid(_logits(part, weights, parts).ravel().take(at))
+            off -= TURNS.take(paths, axis=1)
+            spread, into = np.zeros((len(paths), WIDE), np.float32), np.empty((len(paths), WIDTH), np.float32)
+            spread.ravel()[at] = off
+            for block, i, j in parts:
+                slopes[block] += spread[i:j].T @ part[i:j]
+                np.dot(spread[i:j], weights[block, :, :-1], out=into[i:j])
+                seen[block] += np.bincount(paths[i:j], minlength=len(DECIDES))
+            back[rows] = back[rows] + into
+        times = (seen @ DECIDES).ravel().astype(np.int64)
+        held = np.flatnonzero(times)
+        nodes, times, slopes = tree.nodes.ravel()[held], times[held], slopes.reshape(-1, WIDTH + 1)[held]
+        self._slide_nodes(nodes, times, slopes)
+        which, levels = tree.levels(leaves)
+        if levels:
+            part, into, offs = context.take(which, axis=0), np.zeros((len(which), WIDTH + 1), np.float32), []
+            for node, right in levels:
+                v = self.v.take(node, axis=0)
+                off = _sigmoid(np.einsum("ij,ij->i", part[: len(node)], v))
+                off -= right
+                offs.append(off)
+                v *= off[:, None]
+                into[: len(node)] += v
+            back[which] += into[:, :-1]
+            low, off = np.concatenate([node for node, _ in levels]), np.concatenate(offs)
+            order = np.argsort(low)
+            low, off, row = low.take(order), off.take(order), np.concatenate([np.arange(len(x)) for x in offs]).take(order)
+            cuts = np.searchsorted(low, low[::ROWS]).tolist()  # between nodes
+            for i, j in zip(cuts, [*cuts[1:], len(low)], strict=True):
+                if i < j:
+                    begins, counts = _slices(low[i:j])
+                    rows = part.take(row[i:j], axis=0)
+                    rows *= off[i:j, None]
+                    self._slide_nodes(low[i:j].take(begins), counts, _sums(rows, begins, counts))
+        return back
+
+    def _slide_nodes(self, nodes: np.ndarray, times: np.ndarray, slopes: np.ndarray) -> None:
+        self.seen[1][nodes] += times
+        self._slide(self.v, self.past[1], nodes, slopes)
 
     @staticmethod
     def _slide(x: np.ndarray, past: np.ndarray, held: np.ndarray, d: np.ndarray) -> None:
-        squares = past.take(held, axis=0) + d * d
+        squares = d * d
+        squares += past.take(held, axis=0)
         past[held] = squares
-        x[held] -= WORD_RATE * d / np.sqrt(squares)
+        np.sqrt(squares, out=squares)
+        np.divide(d, squares, out=squares)
+        squares *= -WORD_RATE
+        squares += x.take(held, axis=0)
+        x[held] = squares
 
 
 def joined(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -422,20 +578,51 @@ def joined(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
     return places, real[2:]
 
 
+def gathered(texts: Iterable[np.ndarray], size: int) -> Iterator[list[np.ndarray]]:
+    """Texts by turns, of about ``size`` tokens together."""
+    held, n = [], 0
+    for x in texts:
+        held.append(x)
+        n += len(x)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def replicas_for(total: int) -> int:
     return max(1, min(MOST_REPLICAS, -(-total // REPLICA_TOKENS)))
 
 
-def encoded(docs: DataFrame, lexicon, replicas: int) -> DataFrame:
-    """replica, key, places (32 bits each, the end of the text last) of each document of ``docs`` (doc_id, text)."""
+_OTHERS = "array<struct<word:binary,n:int>>"
+
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [lexicon.value.places(lower_words(t)).astype(np.int32).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], ["key", "places"])
+def encoded(docs: DataFrame, lexicon, replicas: int) -> DataFrame:
+    """doc_id, replica, key, places (32 bits each, the end of the text last) and others, its words without a place, of each document of ``docs`` (doc_id, text)."""
 
-    rows = only(docs, doc_id="bigint", text="string").select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(places, "key bigint, places binary")
-    return rows.select(F.pmod(F.col("key"), F.lit(replicas)).cast("int").alias("replica"), "key", "places")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = lexicon.value
+        end, known = lex.place.get(END, -1), pa.array(list(lex.place), pa.binary())
+        for batch in slices(batches, TEXTS):
+            words, n = arrow_words(batch.column(2))
+            found = pc.index_in(words, value_set=known)
+            ends = np.concatenate([[0], np.cumsum(n + 1)])
+            places, is_word = np.full(ends[-1], end, np.int32), np.ones(ends[-1], bool)
+            is_word[ends[1:] - 1] = False
+            places[is_word] = pc.fill_null(found, -1).to_numpy()
+            doc, away = np.repeat(np.arange(len(n)), n)[found.is_null().to_numpy(zero_copy_only=False)], words.filter(found.is_null())
+            if end < 0:
+                doc, away = np.concatenate([doc, np.arange(len(n))]), pa.concat_arrays([away, pa.array([END] * len(n), pa.binary())])
+            others = pa.table({"doc": doc, "word": away}).group_by(["doc", "word"], use_threads=False).aggregate([([], "count_all")]).sort_by("doc")
+            first = np.concatenate([[0], np.cumsum(np.bincount(others.column("doc").to_numpy(), minlength=len(n)))])
+            pairs = pa.StructArray.from_arrays([others.column("word").combine_chunks(), others.column("count_all").combine_chunks().cast(pa.int32())], ["word", "n"])
+            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pairs)
+            tokens = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(places)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens, lists], ["doc_id", "key", "places", "others"])
+
+    rows = only(docs, doc_id="bigint", text="string").select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(lambda b: _released(run(b)), f"doc_id bigint, key bigint, places binary, others {_OTHERS}")
+    return rows.select("doc_id", F.pmod(F.col("key"), F.lit(replicas)).cast("int").alias("replica"), "key", "places", "others")
 
 
 def dealt(tokens: DataFrame, replicas: int) -> DataFrame:
@@ -466,7 +653,7 @@ class WordReplica:
     def add(self, places: np.ndarray) -> None:
         self.held.append(places)
         self.n += len(places)
-        if self.n >= WORD_BATCH:
+        if self.n >= HELD_TOKENS:
             self._learn()
 
     def _learn(self) -> None:
@@ -480,7 +667,7 @@ class WordReplica:
         if self.held:
             self._learn()
         trainer = self.trainer
-        for which, x in enumerate((trainer.u, np.column_stack([trainer.v, trainer.bias]))):
+        for which, x in enumerate((trainer.u, trainer.v)):
             ids = np.flatnonzero(trainer.seen[which])
             for i in range(0, len(ids), 10_000):
                 part = ids[i : i + 10_000]
@@ -497,11 +684,11 @@ def class_counts(tokens: DataFrame, lexicon) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, classes = np.zeros(CLASSES**3, np.int64), lexicon.value.classes
-        for batch in batches:
-            for places in batch.column(0).to_pylist():
-                c = np.concatenate([[0, 0], classes[np.frombuffer(places, np.int32)]])
-                codes, n = np.unique((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], return_counts=True)
-                counts[codes] += n
+        for batch in slices(batches, TEXTS):
+            for texts in gathered((np.frombuffer(x, np.int32) for x in batch.column(0).to_pylist()), CLASSES**3):
+                places, real = joined(texts, 0)  # the first place is of the first class
+                c = classes.take(places)
+                counts += np.bincount(((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:])[real], minlength=CLASSES**3)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["code", "n"])
 
@@ -531,47 +718,33 @@ def train_words(tokens: DataFrame, lexicon, weights: Weights) -> Words:
     got = rows.toArrow()  # two rows a word of the lexicon at most
     kind, k = (got.column(c).to_numpy() for c in ("kind", "k"))
     u, v = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
-    for j in range(WIDTH):
+    for j in range(WIDTH + 1):
         x = got.column(f"x{j}").to_numpy()
-        model.u[k[u], j], model.v[k[v], j] = x[u], x[v]
-    model.bias[k[v]] = got.column(f"x{WIDTH}").to_numpy()[v]
+        model.v[k[v], j] = x[v]
+        if j < WIDTH:
+            model.u[k[u], j] = x[u]
     return model
 
 
 def _scored(batches: Iterator[pa.RecordBatch], lex: Lexicon, model: Words) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
-    for batch in batches:
-        known, base, score, lists, held, n = [], [], [], [], [], []
-
-        def flush() -> None:
-            places, real = joined(held, lex.place.get(END, -1))
-            logs = model.log_probabilities(places)
-            logs[~real] = 0
-            sizes = np.array([len(t) for t in held])
-            score.extend(np.add.reduceat(np.append([0.0, 0.0], logs), np.cumsum(sizes + 2) - (sizes + 2)) / math.log(10))
-            held.clear()
-
-        waiting = 0
-        for text in batch.column(1).to_pylist():
-            words = lower_words(text)
-            at = lex.places(words)
-            found = at >= 0
-            n.append(len(at))
-            known.append(int(found.sum()))
-            base.append(float(lex.log_c[at].sum()) - len(at) * lex.log_all)
-            missing = Counter([w for w, known_ in zip([*words, END], found.tolist(), strict=True) if not known_])
-            lists.append([{"word": w, "n": c} for w, c in missing.items()])
-            held.append(at)
-            waiting += len(at)
-            if waiting >= WORD_BATCH:
-                flush()
-                waiting = 0
-        if held:
-            flush()
-        # words without a place get their log_c by the join, over what their leaf divides by
-        away = np.array(n) - np.array(known)
-        numbers = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(np.array(score) - away * lex.log_unsent)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(lists, kind)], ["doc_id", "n_tokens", "n_sent", "base", "model", "others"])
+    """Of batches of doc_id, places, others."""
+    for batch in slices(batches, TEXTS):
+        columns = [np.empty(batch.num_rows, kind) for kind in (np.int64, np.int64, float, float)]
+        row = 0
+        for texts in gathered((np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()), HELD_TOKENS):
+            places, real = joined(texts, lex.place.get(END, -1))
+            logs, own = model.log_probabilities(places), places[2:]
+            n = np.array([len(t) for t in texts])
+
+            def sums(x: np.ndarray, begins: np.ndarray = np.cumsum(n + 2) - (n + 2), real: np.ndarray = real) -> np.ndarray:
+                return np.add.reduceat(np.append([0, 0], np.where(real, x, 0)), begins)
+
+            known, slot = sums(own >= 0), slice(row, row + len(texts))
+            # words without a place get their log_c by the join, over what their leaf divides by
+            for column, x in zip(columns, (n, known, sums(lex.log_c.take(own)) - n * lex.log_all, sums(logs) / math.log(10) - (n - known) * lex.log_unsent), strict=True):
+                column[slot] = x
+            row += len(texts)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns), batch.column(2)], ["doc_id", "n_tokens", "n_sent", "base", "model", "others"])
 
 
 def frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -610,15 +783,16 @@ def lm_score(docs: DataFrame, sent_words: int = SENT_WORDS) -> DataFrame:
         top += [(END, r.c) for r in counts.filter(F.length("word") == 0).select("c").collect()]
     lexicon = spark.sparkContext.broadcast(Lexicon(top, total, different))
     replicas = replicas_for(total)
-    tokens = materialise(encoded(training, lexicon, replicas), "lm-tokens")
-    words = train_words(dealt(tokens, replicas), lexicon, train(tokens, lexicon))
-    discard(tokens)
-    model = spark.sparkContext.broadcast((words.w, words.u, words.v, words.bias))
-    scored = rows.mapInArrow(lambda b: _scored(b, lexicon.value, Words.of(lexicon.value, *model.value)), "doc_id bigint, n_tokens bigint, n_sent bigint, base double, model double, others array<struct<word:binary,n:int>>")
+    tokens = materialise(encoded(rows, lexicon, replicas), "lm-tokens")
+    learnt = tokens.filter(fold(F.col("doc_id")) != 1)
+    words = train_words(dealt(learnt, replicas), lexicon, train(learnt, lexicon))
+    model = spark.sparkContext.broadcast((words.w, words.u, words.v))
+    scored = tokens.select("doc_id", "places", "others").mapInArrow(lambda b: _released(_scored(b, lexicon.value, Words(lexicon.value, *model.value))), f"doc_id bigint, n_tokens bigint, n_sent bigint, base double, model double, others {_OTHERS}")
     scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")  # written, so the numbers stay
+    discard(tokens)
     words = scored.select("row", F.inline("others"))
     log_c = F.log10(F.coalesce("c", F.lit(0)) + 0.5)
-    joined = words.join(counts, "word", "left").groupBy("row").agg(F.sum(F.col("n") * log_c).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("also"))
+    joined = words.join(counts.hint("shuffle_hash"), "word", "left").groupBy("row").agg(F.sum(F.col("n") * log_c).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("also"))
     out = scored.drop("others").join(joined, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "n_tokens", (F.col("n_sent") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"))
