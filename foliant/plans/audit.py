@@ -107,6 +107,12 @@ def run_audit(units: DataFrame, hits: DataFrame | None = None, pages: DataFrame
     return Audit(units, output, disposed, repairs.findings(output), open_items, loss, C.document_status(units, [loss], [open_items]), threshold, rejected, live)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` reckoned once: in the session's checkpoint folder where there is one."""
+    reliable = df.sparkSession.sparkContext.getCheckpointDir() is not None
+    return df.checkpoint() if reliable else df.localCheckpoint()
+
+
 def status_in_parts(units_of: Callable[[int], DataFrame], parts: int) -> DataFrame:
     """``run_audit(...).status`` of all documents, part by part: ``units_of(k)`` has all units of the documents of part k.
 
@@ -118,8 +124,7 @@ def status_in_parts(units_of: Callable[[int], DataFrame], parts: int) -> DataFra
     for k in range(parts):
         audit = run_audit(units_of(k))
         spark = audit.status.sparkSession
-        reliable = spark.sparkContext.getCheckpointDir() is not None
-        done.append(audit.status.checkpoint() if reliable else audit.status.localCheckpoint())
+        done.append(kept(audit.status))
         audit.release()
         del audit
         gc.collect()

@@ -144,8 +144,8 @@ def structured(units: DataFrame, table: bool = False) -> DataFrame:
     rows = units.withColumns({"n": F.col("doc_id").cast("bigint"), "text": F.col("raw_text")})
     made = {name: F.expr(sql).cast("double" if name in ("x0", "x1", "y0") else "string") for name, sql in structured_columns(table).items()}
     # by inline, so that the long cases are reckoned once and not wherever a rule reads them
-    kept = [F.col(c) for c in units.columns if c not in (*made, "audit_text", "y1")]
-    rows = rows.select(F.inline(F.array(F.struct(*kept, *[c.alias(name) for name, c in made.items()]))))
+    kept = [F.col(c) for c in units.columns if c not in (*made, "doc_id", "audit_text", "y1")]
+    rows = rows.select("doc_id", F.inline(F.array(F.struct(*kept, *[c.alias(name) for name, c in made.items()]))))
     return rows.withColumns({"audit_text": T.normalize_audit(F.col("raw_text")), "y1": F.col("y0") + 14})
 
 
