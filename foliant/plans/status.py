@@ -28,6 +28,7 @@ from ..operators import detectors as D
 NEEDED = ("doc_id", "ord", "unit_id", "granularity", "page", "dtype", "raw_text", "audit_text", "x0", "y0", "x1", "y1", "page_width", "page_height", "recovery")
 
 
+ORDER = ("at_page", "at_y0", "at_x0", "at_ord")
 #: White space that squeezing or stripping changes.
 ODD_SPACE = r"(?U)[\s&&[^ ]]|^ | (?: |$)"
 #: Eight of ``text.tokens`` in a text in lower case.
@@ -118,7 +119,9 @@ def _rows(units: DataFrame, terms: list[str]) -> DataFrame:
 
 def _in_order(rows: DataFrame) -> DataFrame:
     """Each block with its neighbours: ``a`` stands before it, ``r`` is the last to review, ``h`` the last that parts headings."""
-    w = Window.partitionBy("doc_id").orderBy(*U.order())
+    # by columns: windows over expressions are sorted anew, each by itself
+    rows = rows.withColumns(dict(zip(ORDER, U.order(), strict=True)))
+    w = Window.partitionBy("doc_id").orderBy(*ORDER)
     before, up_to, all_of = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     last = lambda cond, value, frame: F.last(F.when(cond, value), ignorenulls=True).over(frame)
     review, short, place = F.col("review"), F.col("short"), F.col("place")
